@@ -138,7 +138,7 @@ def clean_text(spark, sf):
     return postings.table(spark, sf, "documents").select("doc_id", text.clean_text("text").alias("text"))
 
 
-@query("clean_pages", f"SELECT page_id, {sql.clean('html')} AS text FROM pages")
+@query("clean_pages", f"SELECT page_id, {sql.clean('html', {'&middot;': '·', '&copy;': '©'})} AS text FROM pages")
 def clean_pages(spark, sf):
     return postings.table(spark, sf, "pages").select("page_id", text.clean_text("html").alias("text"))
 

@@ -35,8 +35,9 @@ def strip(expr: str) -> str:
     return f"regexp_replace({expr}, {q(f'^[{SP}]+|[{SP}]+$')}, '', 'g')"
 
 
-def clean(expr: str) -> str:
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
+def clean(expr: str, more_entities: dict[str, str] = {}) -> str:
+    entities = {**more_entities, "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
+    for entity, char in entities.items():
         expr = f"replace({expr}, {q(entity)}, {q(char)})"
     expr = f"regexp_replace({expr}, '<[^>]+>', ' ', 'g')"
     expr = f"regexp_replace({expr}, {q(f'(?i)(https?://[^{SP}]+|www[.][^{SP}]+)')}, ' ', 'g')"
@@ -99,7 +100,7 @@ def skill_list(expr: str) -> str:
     tests = [
         f"CASE WHEN {skill_matches(expr, e.name, e.pattern, e.case_sensitive)} THEN {q(e.name)} END" for e in SKILLS
     ]
-    return f"list_filter([{', '.join(tests)}], x -> x IS NOT NULL)"
+    return f"[x FOR x IN [{', '.join(tests)}] IF x IS NOT NULL]"
 
 
 SKILL_VALUES = ", ".join(f"({i}, {q(e.name)}, {q(e.category)})" for i, e in enumerate(SKILLS))
@@ -115,7 +116,7 @@ def years(expr: str) -> str:
     found = f"regexp_extract_all({expr}, {q(pattern)}, 1)"
     as_int = f"coalesce(try_cast(x AS INTEGER), {lookup('lower(x)', fixed.NUMBER_WORDS)})"
     return (
-        f"CAST(list_min(list_filter(list_transform({found}, x -> {as_int}), v -> v <= {fixed.MAX_REASONABLE_YEARS})) AS DOUBLE)"
+        f"CAST(list_min([v FOR v IN [{as_int} FOR x IN {found}] IF v <= {fixed.MAX_REASONABLE_YEARS}]) AS DOUBLE)"
     )
 
 
@@ -144,11 +145,11 @@ def tokens(expr: str) -> str:
 
 
 def stop_filter(tokens_expr: str, stop_words) -> str:
-    return f"list_filter({tokens_expr}, t -> t NOT IN ({', '.join(q(w) for w in stop_words)}))"
+    return f"[t FOR t IN {tokens_expr} IF t NOT IN ({', '.join(q(w) for w in stop_words)})]"
 
 
 def bigrams(words: str) -> str:
-    return f"list_transform(generate_series(1, len({words}) - 1), i -> {words}[i] || ' ' || {words}[i + 1])"
+    return f"[{words}[i] || ' ' || {words}[i + 1] FOR i IN generate_series(1, len({words}) - 1)]"
 
 
 def share(count: str, total: str, places: int = 1) -> str:

@@ -3,8 +3,10 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelake.functions import skills, text
+from hirelake.functions import fixed, skills, text
 from hirelake.operators import cleaning
+from hirelake.operators.features import build_features, group_key
+from hirelake.operators.folds import with_folds
 from hirelake.plans import postings
 from hirelake.sources import files
 from hirelake.sources.stages import STORE
@@ -52,3 +54,23 @@ def clusters(spark: SparkSession, sf: str) -> DataFrame:
 
 def jobs_with_cluster(spark: SparkSession, sf: str) -> DataFrame:
     return jobs(spark, sf).withColumn("cluster", (F.col("job_id") % CLUSTERS).cast("int"))
+
+
+def cluster_texts(spark: SparkSession, sf: str) -> DataFrame:
+    return jobs(spark, sf).select("job_id", text.cluster_text("title", "description_clean", "company_name").alias("text"))
+
+
+def features(spark: SparkSession, sf: str) -> DataFrame:
+    """Both feature variants, one folder per variant."""
+    return STORE.get(spark, sf, "features", lambda: build_features(jobs(spark, sf)), ("variant",))
+
+
+def labelled(spark: SparkSession, sf: str) -> DataFrame:
+    known = jobs(spark, sf).where("seniority IS NOT NULL")
+    return known.select(
+        "job_id", "title", "company_name", "description_clean", "seniority", group_key("company_name", "job_id").alias("group")
+    )
+
+
+def folded(spark: SparkSession, sf: str) -> DataFrame:
+    return with_folds(labelled(spark, sf), "group", "seniority", fixed.CLASSES)
