@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake.functions import fixed, skills, text
-from hirelake.operators import cleaning
+from hirelake.operators import cleaning, marts
 from hirelake.operators.features import build_features, group_key
 from hirelake.operators.folds import with_folds
 from hirelake.plans import postings
@@ -74,3 +74,10 @@ def labelled(spark: SparkSession, sf: str) -> DataFrame:
 
 def folded(spark: SparkSession, sf: str) -> DataFrame:
     return with_folds(labelled(spark, sf), "group", "seniority", fixed.CLASSES)
+
+
+def mart(spark: SparkSession, sf: str) -> DataFrame:
+    """The serving mart, written with its cluster and skill ids."""
+    return STORE.get(
+        spark, sf, "mart", lambda: marts.serving_mart(jobs(spark, sf), job_skills(spark, sf), clusters(spark, sf))
+    )
