@@ -1,6 +1,8 @@
 """Role clusters: describing them, naming them, measuring them, and finding them."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -11,3 +13,58 @@ def top_titles(mart: DataFrame, top: int = 4, by: str = "cluster") -> DataFrame:
     best = counted.withColumn("rank", rank).where(F.col("rank") <= top)
     listed = F.array_sort(F.collect_list(F.struct("rank", "title")))
     return best.groupBy(by).agg(F.concat_ws("; ", F.transform(listed, lambda s: s["title"])).alias("titles"))
+
+
+def l2_normalized(vector: str) -> Column:
+    """Array scaled to unit length; a zero vector stays zero."""
+    v = F.col(vector).cast("array<double>")
+    length = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
+    return F.transform(v, lambda x: x / F.when(length == 0, 1.0).otherwise(length))
+
+
+def centroids(df: DataFrame, vector: str, by: str) -> DataFrame:
+    """Mean vector per cluster, added up inside each task first: by, centroid, size."""
+    mean = Summarizer.mean(array_to_vector(F.col(vector).cast("array<double>")))
+    grouped = df.groupBy(by).agg(mean.alias("m"), F.count(F.lit(1)).alias("size"))
+    return grouped.select(by, vector_to_array("m").alias("centroid"), "size")
+
+
+def inertia(df: DataFrame, vector: str, by: str) -> DataFrame:
+    """Size and sum of squared distances to the mean, per cluster."""
+    means = centroids(df, vector, by).select(by, "centroid")
+    gap = F.zip_with(F.col(vector).cast("array<double>"), "centroid", lambda a, b: (a - b) * (a - b))
+    distance = F.aggregate(gap, F.lit(0.0), lambda a, x: a + x)
+    return df.join(means, by).groupBy(by).agg(F.count(F.lit(1)).alias("size"), F.sum(distance).alias("inertia"))
+
+
+def top_terms(weights: DataFrame, clusters: DataFrame, key: str = "job_id", by: str = "cluster", top: int = 15) -> DataFrame:
+    """Terms with the highest mean TF-IDF per cluster, absent terms counting as 0."""
+    sizes = clusters.groupBy(by).agg(F.count(F.lit(1)).alias("size"))
+    sums = weights.join(clusters.select(key, by), key).groupBy(by, "term").agg(F.sum("tfidf").alias("total"))
+    means = sums.join(sizes, by).select(by, "term", (F.col("total") / F.col("size")).alias("mean"))
+    rank = F.row_number().over(Window.partitionBy(by).orderBy(F.desc(F.round("mean", 12)), "term"))
+    return means.withColumn("rank", rank).where(F.col("rank") <= top)
+
+
+def failed_names(terms: DataFrame, names: DataFrame, by: str = "cluster") -> DataFrame:
+    """Named clusters none of whose top terms contains the signature term; no rows if all names fit."""
+    found = terms.join(names, by).where(F.contains("term", F.col("signature"))).select(by).distinct()
+    return names.join(found, by, "left_anti")
+
+
+def name_by_signature(terms: DataFrame, signatures: DataFrame, by: str = "cluster") -> DataFrame:
+    """The role name whose signature term ranks best among a cluster's top terms.
+
+    Cluster numbers depend on the seed; the names follow the terms instead.
+    """
+    # A handful of clusters by a handful of names, matched by the words a term is made of.
+    parts = terms.select(by, "rank", "term", F.explode(_stretches("term")).alias("signature"))
+    best = parts.join(signatures, "signature").groupBy(by).agg(F.min(F.struct("rank", "name"))["name"].alias("name"))
+    return terms.select(by).distinct().join(best, by, "left").select(
+        by, F.coalesce("name", F.concat(F.lit("Cluster "), F.col(by).cast("string"))).alias("name")
+    )
+
+
+def _stretches(term: str) -> Column:
+    """A term of one or two words, and each of its words."""
+    return F.array_distinct(F.concat(F.array(term), F.split(term, " ")))
