@@ -1,10 +1,20 @@
 """Role clusters: describing them, naming them, measuring them, and finding them."""
 
+from dataclasses import dataclass, field
+
+import numpy as np
+from pyspark.ml import PipelineModel
+from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from hirelake.functions import text
+from hirelake.operators import lsa
+
 
 def top_titles(mart: DataFrame, top: int = 4, by: str = "cluster") -> DataFrame:
     """The most common titles of each cluster, joined by "; "."""
@@ -68,3 +78,119 @@ def name_by_signature(terms: DataFrame, signatures: DataFrame, by: str = "cluste
 def _stretches(term: str) -> Column:
     """A term of one or two words, and each of its words."""
     return F.array_distinct(F.concat(F.array(term), F.split(term, " ")))
+
+
+# ---------------------------------------------------------------- finding clusters
+
+
+def best_kmeans(vectors: DataFrame, k: int, inits: int = 10, seed: int = 42, features: str = "z"):
+    """The KMeans model with the lowest training cost of several starts. `vectors` should be a written table."""
+    best = None
+    for i in range(inits):
+        model = KMeans(k=k, seed=seed + i, featuresCol=features, predictionCol="cluster").fit(vectors)
+        if best is None or model.summary.trainingCost < best.summary.trainingCost:
+            best = model
+    return best
+
+
+def scan_k(vectors: DataFrame, ks: range = range(4, 16), inits: int = 10, seed: int = 42, features: str = "z") -> list[dict]:
+    """Cost and silhouette for each number of clusters, over all rows.
+
+    The silhouette is Spark's, of squared distances: good for ranking the ks.
+    """
+    judge = ClusteringEvaluator(featuresCol=features, predictionCol="cluster")
+    rows = []
+    for k in ks:
+        model = best_kmeans(vectors, k, inits, seed, features)
+        silhouette = judge.evaluate(model.transform(vectors))
+        rows.append({"k": k, "inertia": float(model.summary.trainingCost), "silhouette": float(silhouette)})
+    return rows
+
+
+@dataclass
+class RoleModel:
+    """Role clusters: text to TF-IDF to LSA coordinates to the nearest centre, with a name per cluster."""
+
+    words: PipelineModel
+    components: np.ndarray
+    kmeans: KMeansModel
+    names: list[str] = field(default_factory=list)
+    explained_variance: float = 0.0
+
+    def vectors(self, texts: DataFrame, text_col: str = "text") -> DataFrame:
+        """Input columns plus z, the unit-length coordinates."""
+        kept = texts.columns
+        made = self.words.transform(texts)
+        z = lsa.projected(texts.sparkSession, self.components, "tfidf")
+        return made.withColumn("z", array_to_vector(z)).select(*kept, "z")
+
+    def transform(self, texts: DataFrame, text_col: str = "text") -> DataFrame:
+        """Input columns plus cluster and cluster_name."""
+        kept = texts.columns
+        out = self.kmeans.transform(self.vectors(texts, text_col))
+        names = text.literal_array(self.names)
+        return out.select(*kept, "cluster", F.element_at(names, F.col("cluster") + 1).alias("cluster_name"))
+
+    def top_terms(self, spark, top: int = 15) -> DataFrame:
+        """Terms of each centre, mapped back from coordinates to words: cluster, term, weight, rank."""
+        vocabulary = np.array(next(s.vocabulary for s in self.words.stages if isinstance(s, CountVectorizerModel)))
+        weights = np.array(self.kmeans.clusterCenters()) @ self.components.T
+        rows = []
+        for c, w in enumerate(weights):
+            order = np.lexsort((vocabulary, -np.round(w, 12)))[:top]
+            rows += [(c, str(vocabulary[j]), float(w[j]), rank + 1) for rank, j in enumerate(order)]
+        return spark.createDataFrame(rows, "cluster int, term string, weight double, rank int")
+
+    def save(self, path: str) -> None:
+        self.words.write().overwrite().save(f"{path}/words")
+        self.kmeans.write().overwrite().save(f"{path}/kmeans")
+        spark = SparkSession.getActiveSession()
+        rows = [(i, [float(x) for x in r]) for i, r in enumerate(self.components)]
+        spark.createDataFrame(rows, "term int, row array<double>").write.mode("overwrite").parquet(f"{path}/components")
+        named = [(i, n, self.explained_variance) for i, n in enumerate(self.names)]
+        spark.createDataFrame(named, "cluster int, name string, explained double").write.mode("overwrite").parquet(f"{path}/names")
+
+    @staticmethod
+    def load(path: str) -> "RoleModel":
+        spark = SparkSession.getActiveSession()
+        rows = spark.read.parquet(f"{path}/components").orderBy("term").collect()
+        named = spark.read.parquet(f"{path}/names").orderBy("cluster").collect()
+        return RoleModel(
+            PipelineModel.load(f"{path}/words"), np.array([r["row"] for r in rows]), KMeansModel.load(f"{path}/kmeans"),
+            [r["name"] for r in named], named[0]["explained"],
+        )
+
+
+def explained_variance(weighed: DataFrame, z: DataFrame) -> float:
+    """Variance of the coordinates over the variance of the TF-IDF columns."""
+
+    def total(df: DataFrame, column: str) -> float:
+        return float(df.select(Summarizer.variance(F.col(column)).alias("v")).first()["v"].toArray().sum())
+
+    whole = total(weighed, "tfidf")
+    return total(z, "z") / whole if whole else 0.0
+
+
+def fit_roles(
+    texts: DataFrame, k: int = 10, dims: int = 100, stop_words=(), max_features: int = 20_000, min_df: int = 5,
+    max_df: float = 0.5, inits: int = 10, passes: int = 5, seed: int = 42, signatures: dict[str, str] | None = None,
+    key: str = "job_id",
+) -> RoleModel:
+    """Fit role clusters on key and text, and name them by their signature terms."""
+    from hirelake.operators import models
+    from hirelake.sources.stages import materialize
+
+    spark = texts.sparkSession
+    words = models.fit_tfidf(texts, key, "text", stop_words, min_df, max_df, max_features)
+    weighed = materialize(words.transform(texts).select(key, "tfidf"), "role-tfidf")
+    n_terms = len(models.vocabulary_of(words))
+    components = lsa.fit(weighed, "tfidf", n_terms, min(dims, n_terms), passes=passes, seed=seed)
+    raw = weighed.select(array_to_vector(lsa.projected(spark, components, "tfidf", normalize=False)).alias("z"))
+    explained = explained_variance(weighed, raw)
+    z = weighed.select(key, array_to_vector(lsa.projected(spark, components, "tfidf")).alias("z"))
+    vectors = materialize(z, "role-vectors")
+    model = RoleModel(words, components, best_kmeans(vectors, k, inits, seed), [], explained)
+    wanted = spark.createDataFrame(list((signatures or {}).items()) or [("", "")], "name string, signature string")
+    named = name_by_signature(model.top_terms(spark), wanted).orderBy("cluster").collect()
+    model.names = [r["name"] for r in named]
+    return model

@@ -18,6 +18,7 @@ def build_features(
     key: str = "job_id",
     variants: tuple[str, ...] = VARIANTS,
     exact: bool = True,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per posting and variant: text, log words, years, flags, skill ids and count.
 
@@ -27,6 +28,7 @@ def build_features(
     """
     cleaned = df.select(
         key,
+        *keep,
         F.col(company).alias("_company"),
         F.when(F.col(title).isNotNull(), text.clean_text(title, exact)).alias("_title"),
         F.when(F.col(description).isNotNull(), text.clean_text(description, exact)).alias("_desc"),
@@ -42,6 +44,7 @@ def build_features(
         .withColumn("years_required", text.years_required("_bare"))
         .select(
             key,
+            *keep,
             "log_desc_words",
             "years_required",
             F.inline(F.array(*[F.struct(F.lit(v).alias("variant"), texts[v].alias("text")) for v in variants])),
@@ -49,7 +52,7 @@ def build_features(
         .withColumns(text.keyword_flags("text"))
     )
     out = skills.with_skill_ids(rows, "text").withColumn("skill_count", F.size("skill_ids"))
-    return out.select(key, "variant", "text", *NUMERIC[:2], *FLAGS, "skill_ids", "skill_count")
+    return out.select(key, *keep, "variant", "text", *NUMERIC[:2], *FLAGS, "skill_ids", "skill_count")
 
 
 def skill_matrix(df: DataFrame, key: str = "job_id", ids: str = "skill_ids") -> DataFrame:

@@ -1,6 +1,6 @@
 """Imports every module that registers queries."""
 
-from hirelake.plans import cleaning_queries, evaluation_queries, feature_queries, mart_queries  # noqa: F401
+from hirelake.plans import cleaning_queries, evaluation_queries, feature_queries, mart_queries, model_queries  # noqa: F401
 
 
 def flagship(spark, sf):
