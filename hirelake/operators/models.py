@@ -8,9 +8,11 @@ the training rows alone, again in every fold.
 import itertools
 import json
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, OneVsRest
 from pyspark.ml.feature import (
@@ -89,21 +91,44 @@ def vocabulary_of(model: PipelineModel) -> list[str]:
 
 
 def fit_numeric(train: DataFrame, columns: list[str] = features.NUMERIC) -> tuple[SQLTransformer, list[str]]:
-    """Median imputation, missing indicators and scaling as one SQL stage, and the columns it makes."""
+    """Median imputation, missing indicators and scaling as one SQL stage, and the columns it makes.
+
+    All columns are learnt from one table of (column, value, count).
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
+    counts = stats.value_counts(train.select(F.inline(pairs)), "value", ["column"])
+    total = train.agg(F.count(F.lit(1))).scalar()
+    middles = stats.quantiles_of_counts(counts, {"median": 0.5}, ["column"])
+    joined = counts.join(middles.select("column", "median"), "column").withColumn("total", total)
+    n = F.col("n")
+    # The rows without a value all hold the median.
+    sums = joined.groupBy("column").agg(
+        F.first("median").alias("median"), F.first("total").alias("total"), F.sum(n).alias("known"),
+        F.sum(n * F.col("v")).alias("sum"),
+    )
+    mean = (F.col("sum") + (F.col("total") - F.col("known")) * F.col("median")) / F.col("total")
+    means = sums.withColumn("mean", mean)
+    spread = (
+        counts.join(means, "column")
+        .groupBy("column")
+        .agg(
+            *[F.first(c).alias(c) for c in ("median", "total", "known", "mean")],
+            F.sum(n * (F.col("v") - F.col("mean")) * (F.col("v") - F.col("mean"))).alias("squares"),
+        )
+    )
+    learnt = {r["column"]: r for r in spread.collect()}  # one row per column
     selected, names = [], []
     for c in columns:
-        median = stats.medians(train, c).select("median").first()
-        middle = median["median"] if median else 0.0
-        filled = F.coalesce(F.col(c).cast("double"), F.lit(middle))
-        missing = F.col(c).isNull().cast("double")
-        m = train.agg(
-            F.avg(filled).alias("mean"), F.stddev_pop(filled).alias("std"),
-            F.avg(missing).alias("miss_mean"), F.stddev_pop(missing).alias("miss_std"),
-        ).first()
-        selected.append(f"(coalesce(CAST({c} AS DOUBLE), {middle!r}D) - {m['mean']!r}D) / {m['std'] or 1.0!r}D AS {c}_z")
+        r = learnt.get(c)
+        if r is None:  # no value at all: nothing to learn
+            continue
+        gone = r["total"] - r["known"]
+        std = ((r["squares"] + gone * (r["median"] - r["mean"]) ** 2) / r["total"]) ** 0.5 or 1.0
+        selected.append(f"(coalesce(CAST({c} AS DOUBLE), {r['median']!r}D) - {r['mean']!r}D) / {std!r}D AS {c}_z")
         names.append(f"{c}_z")
-        if m["miss_mean"] > 0:
-            selected.append(f"(CAST({c} IS NULL AS DOUBLE) - {m['miss_mean']!r}D) / {m['miss_std'] or 1.0!r}D AS {c}_missing_z")
+        if gone:
+            rate = gone / r["total"]
+            selected.append(f"(CAST({c} IS NULL AS DOUBLE) - {rate!r}D) / {(rate * (1 - rate)) ** 0.5 or 1.0!r}D AS {c}_missing_z")
             names.append(f"{c}_missing_z")
     return SQLTransformer(statement=f"SELECT *, {', '.join(selected)} FROM __THIS__"), names
 
@@ -273,15 +298,20 @@ def macro_f1_and_balanced(predictions: DataFrame, classes: list[str]) -> tuple[f
 
 def cross_validate(
     train: DataFrame, name: str, params: dict | None = None, label: str = "seniority", classes: list[str] = fixed.CLASSES,
-    fold: str = "cv_fold", n_folds: int = 5, **fit_args,
+    fold: str = "cv_fold", n_folds: int = 5, parallelism: int = 1, **fit_args,
 ) -> list[tuple[float, float]]:
-    """(macro F1, balanced accuracy) of each fold; everything is fitted again per fold."""
-    scores = []
-    for i in range(n_folds):
+    """(macro F1, balanced accuracy) of each fold; everything is fitted again per fold.
+
+    `train` should be a written table. With `parallelism` folds are fitted side by side.
+    """
+
+    def one(i: int) -> tuple[float, float]:
         model = fit(train.where(F.col(fold) != i), name, params, label, classes, **fit_args)
         held_out = model.predict(train.where(F.col(fold) == i), (label,)).withColumnRenamed(label, "actual")
-        scores.append(macro_f1_and_balanced(held_out, classes))
-    return scores
+        return macro_f1_and_balanced(held_out, classes)
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        return list(pool.map(inheritable_thread_target(train.sparkSession)(one), range(n_folds)))
 
 
 def compare_models(train: DataFrame, settings: dict[str, dict] | None = None, **cv_args) -> list[dict]:

@@ -48,19 +48,18 @@ _LEVEL_SHARES = ", ".join(
 )
 
 
-_BY_LEVEL = f"""SELECT skill, "Entry", "Mid", "Senior", greatest("Entry", "Mid", "Senior") AS highest FROM (
+BY_LEVEL_SQL = f"""SELECT skill, "Entry", "Mid", "Senior", greatest("Entry", "Mid", "Senior") AS highest FROM (
 SELECT t.skill, {_LEVEL_SHARES} FROM {_top(15)} t LEFT JOIN job_skill s ON s.skill = t.skill
 LEFT JOIN jobs j ON j.job_id = s.job_id GROUP BY t.skill)"""
 
 
-def _by_level(spark, sf):
-    out = marts.skills_by_level(stages.mart(spark, sf))
+def rounded_levels(out):
     return out.select("skill", *[F.round(c, 6).alias(c) for c in (*LEVELS, "highest")])
 
 
-@query("skills_by_level", _BY_LEVEL)
+@query("skills_by_level", BY_LEVEL_SQL)
 def skills_by_level(spark, sf):
-    return _by_level(spark, sf)
+    return rounded_levels(marts.skills_by_level(stages.mart(spark, sf)))
 
 
 @query("skill_cooccurrence", f"""

@@ -25,6 +25,7 @@ QUICK = {
     "Linear SVM": {**TERMS, "max_iter": 10},
     "Boosted Trees": {"max_features": 200, "max_depth": 3, "rounds": 4},
 }
+CV_FOLDS = stages.CV_FOLDS
 ROLE_SETTINGS = {"k": 10, "dims": 20, "max_features": 2000, "inits": 2, "passes": 3}
 _FITTED: dict[tuple, object] = {}
 
@@ -42,9 +43,9 @@ def _path(spark, name: str) -> str:
 
 
 def training_rows(spark, sf, variant: str = "with_title"):
-    """Labelled feature rows of one variant with group and fold."""
-    rows = stages.features(spark, sf).where(F.col("variant") == variant)
-    return rows.join(stages.folded(spark, sf).select("job_id", "seniority", "group", "fold"), "job_id")
+    """Labelled feature rows of one variant with group, fold and the fold among training rows."""
+    rows = stages.training(spark, sf).where(F.col("variant") == variant)
+    return rows.drop("variant")
 
 
 def _train(spark, sf, variant: str = "with_title"):
@@ -108,16 +109,18 @@ def predictions(spark, sf):
 
 @query("cv_compare")
 def cv_compare(spark, sf):
-    train = models.with_cv_folds(_train(spark, sf), n_folds=3)
+    train = _train(spark, sf)
     settings = {"Logistic Regression": QUICK["Logistic Regression"], "Linear SVM": QUICK["Linear SVM"]}
-    rows = models.compare_models(train, settings, n_folds=3)
+    rows = models.compare_models(train, settings, n_folds=CV_FOLDS, parallelism=CV_FOLDS)
     return spark.createDataFrame(rows).select("model", "cv_macro_f1_mean", "cv_macro_f1_std", "cv_balanced_acc_mean", "seconds")
 
 
 @query("grid_search")
 def grid_search(spark, sf):
-    train = models.with_cv_folds(_train(spark, sf), n_folds=2)
-    rows = models.grid_search(train, "Logistic Regression", {"C": [0.3, 3.0]}, QUICK["Logistic Regression"], n_folds=2)
+    grid = {"C": [0.3, 3.0]}
+    rows = models.grid_search(
+        _train(spark, sf), "Logistic Regression", grid, QUICK["Logistic Regression"], n_folds=CV_FOLDS, parallelism=CV_FOLDS
+    )
     flat = [(r["model"], str(r["params"]), r["mean"], r["std"]) for r in rows]
     return spark.createDataFrame(flat, "model string, params string, mean double, std double")
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from hirelake.functions import fixed, skills, text
 from hirelake.operators import cleaning, marts
 from hirelake.operators.features import build_features, group_key
-from hirelake.operators.folds import with_folds
+from hirelake.operators.folds import assign_group_folds, with_folds
 from hirelake.plans import postings
 from hirelake.sources import files
 from hirelake.sources.stages import STORE
@@ -106,3 +106,18 @@ def predictions(spark: SparkSession, sf: str) -> DataFrame:
 def role_names(spark: SparkSession) -> DataFrame:
     rows = [(i, name, term) for i, (name, term) in enumerate(fixed.ROLE_SIGNATURES.items())]
     return spark.createDataFrame(rows, "cluster int, name string, signature string")
+
+
+CV_FOLDS = 3
+
+
+def training(spark: SparkSession, sf: str) -> DataFrame:
+    """Labelled feature rows with group, fold, and for training rows their fold among themselves."""
+
+    def build() -> DataFrame:
+        rows = STORE.get(spark, sf, "folded", lambda: folded(spark, sf).select("job_id", "seniority", "group", "fold"))
+        inner = assign_group_folds(rows.where("fold <> 0"), "group", "seniority", fixed.CLASSES, CV_FOLDS)
+        marked = rows.join(inner.withColumnRenamed("fold", "cv_fold"), "group", "left")
+        return features(spark, sf).join(marked, "job_id")
+
+    return STORE.get(spark, sf, "training", build, ("variant",))
