@@ -14,12 +14,17 @@ def tech_titles(df: DataFrame, title: str = "title") -> DataFrame:
 
 
 def with_clean_text(df: DataFrame, title: str = "title", description: str = "description", exact: bool = True) -> DataFrame:
-    """Clean title and description; rows whose description comes out empty are dropped."""
-    return (
-        df.withColumn(title, text.clean_text(title, exact))
-        .withColumn("description_clean", text.clean_text(description, exact))
-        .where(F.length("description_clean") > 0)
-    )
+    """Clean title and description (in a new column)."""
+    return df.withColumns({
+        title: text.clean_text(title, exact),
+        "description_clean": text.clean_text(description, exact),
+    })
+
+
+def without_empty(df: DataFrame, description: str = "description_clean") -> DataFrame:
+    """Rows that have a description left. Placed after the aggregate of `deduplicate`,
+    since a filter right above the cleaning would be pushed below it and clean twice."""
+    return df.where(F.length(description) > 0)
 
 
 def deduplicate(
@@ -175,7 +180,7 @@ salary_min salary_max salary_yearly listed_date original_listed_date views appli
 
 def deduped_postings(raw: DataFrame, exact: bool = True) -> DataFrame:
     """The row-reducing half of the cleaning: tech titles, clean text, no copies."""
-    return raw.transform(tech_titles).transform(with_clean_text, exact=exact).transform(deduplicate)
+    return raw.transform(tech_titles).transform(with_clean_text, exact=exact).transform(deduplicate).transform(without_empty)
 
 
 def finish_postings(deduped: DataFrame, k: float = 1.5, min_city_count: int = 5) -> DataFrame:

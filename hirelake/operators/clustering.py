@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from hirelake.functions import text
 from hirelake.operators import lsa
+from hirelake.session import spread
 
 
 def top_titles(mart: DataFrame, top: int = 4, by: str = "cluster") -> DataFrame:
@@ -86,6 +87,7 @@ def _stretches(term: str) -> Column:
 def best_kmeans(vectors: DataFrame, k: int, inits: int = 10, seed: int = 42, features: str = "z"):
     """The KMeans model with the lowest training cost of several starts. `vectors` should be a written table."""
     best = None
+    vectors = spread(vectors)
     for i in range(inits):
         model = KMeans(k=k, seed=seed + i, featuresCol=features, predictionCol="cluster").fit(vectors)
         if best is None or model.summary.trainingCost < best.summary.trainingCost:
@@ -183,6 +185,7 @@ def fit_roles(
     spark = texts.sparkSession
     words = models.fit_tfidf(texts, key, "text", stop_words, min_df, max_df, max_features)
     weighed = materialize(words.transform(texts).select(key, "tfidf"), "role-tfidf")
+    weighed = spread(weighed, key)
     n_terms = len(models.vocabulary_of(words))
     components = lsa.fit(weighed, "tfidf", n_terms, min(dims, n_terms), passes=passes, seed=seed)
     raw = weighed.select(array_to_vector(lsa.projected(spark, components, "tfidf", normalize=False)).alias("z"))

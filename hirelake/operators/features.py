@@ -19,19 +19,25 @@ def build_features(
     variants: tuple[str, ...] = VARIANTS,
     exact: bool = True,
     keep: tuple[str, ...] = (),
+    clean: bool = True,
 ) -> DataFrame:
     """One row per posting and variant: text, log words, years, flags, skill ids and count.
 
     What depends on the description alone is computed once; only the text, and
     the flags and skills found in it, exist per variant. The variant is a column,
-    so one variant is a partition-pruned read of the stored table.
+    so one variant is a partition-pruned read of the stored table. `clean=False`
+    takes texts that have just been cleaned as they are.
     """
+
+    def cleaned_text(c: str) -> Column:
+        return F.when(F.col(c).isNotNull(), text.clean_text(c, exact)) if clean else F.col(c)
+
     cleaned = df.select(
         key,
         *keep,
         F.col(company).alias("_company"),
-        F.when(F.col(title).isNotNull(), text.clean_text(title, exact)).alias("_title"),
-        F.when(F.col(description).isNotNull(), text.clean_text(description, exact)).alias("_desc"),
+        cleaned_text(title).alias("_title"),
+        cleaned_text(description).alias("_desc"),
     )
     bare = text.remove_company(F.concat_ws(" ", "_desc"), "_company")
     texts = {

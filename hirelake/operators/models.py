@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from hirelake.functions import fixed, skills, text
 from hirelake.functions.vectors import SublinearTf
 from hirelake.operators import evaluation, features, folds, stats, tfidf
+from hirelake.session import spread
 from hirelake.sources.stages import materialize
 
 # ---------------------------------------------------------------- preprocessing
@@ -171,17 +172,20 @@ class Candidate:
     max_features: int = 20_000
 
 
+TOLERANCE = 1e-4
+
+
 def _logistic(n: float, C: float, max_iter: int = 200) -> Estimator:
     # The same objective as a loss summed with factor C next to half the squared weights.
     return LogisticRegression(
-        family="multinomial", regParam=1.0 / (C * n), elasticNetParam=0.0, standardization=False, maxIter=max_iter,
+        family="multinomial", regParam=1.0 / (C * n), elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=TOLERANCE,
         weightCol="weight", featuresCol="features", labelCol="label",
     )
 
 
 def _svm(n: float, C: float, max_iter: int = 200) -> Estimator:
-    one = LinearSVC(regParam=1.0 / (C * n), standardization=False, maxIter=max_iter, weightCol="weight")
-    return OneVsRest(classifier=one, weightCol="weight", featuresCol="features", labelCol="label")
+    one = LinearSVC(regParam=1.0 / (C * n), standardization=False, maxIter=max_iter, tol=TOLERANCE, weightCol="weight")
+    return OneVsRest(classifier=one, weightCol="weight", featuresCol="features", labelCol="label", parallelism=3)
 
 
 def _boosted(n: float, max_depth: int = 6, rounds: int = 200, rate: float = 0.15, seed: int = 42) -> Estimator:
@@ -189,7 +193,7 @@ def _boosted(n: float, max_depth: int = 6, rounds: int = 200, rate: float = 0.15
         maxIter=rounds, stepSize=rate, maxDepth=max_depth, subsamplingRate=0.8, featureSubsetStrategy="0.5",
         weightCol="weight", seed=seed,
     )
-    return OneVsRest(classifier=one, weightCol="weight", featuresCol="features", labelCol="label")
+    return OneVsRest(classifier=one, weightCol="weight", featuresCol="features", labelCol="label", parallelism=3)
 
 
 CANDIDATES = {
@@ -282,8 +286,7 @@ def fit(
     prepared = prepared or fit_preprocessor(train, key, terms, min_df)
     weighted = features.with_balanced_weight(train, label, classes).withColumn("label", label_index(label, classes))
     vectors = materialize(prepared.model.transform(weighted).select("label", "weight", "features"), "train")
-    n = vectors.count()
-    model = candidate.make(float(n), **params).fit(vectors)
+    model = candidate.make(float(vectors.count()), **params).fit(spread(vectors))
     return SeniorityModel(prepared.model, model, classes, prepared.names, include_title, key)
 
 

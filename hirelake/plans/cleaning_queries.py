@@ -6,6 +6,7 @@ from hirelake.functions import fixed, text
 from hirelake.operators import cleaning, location, profile, stats
 from hirelake.plans import postings, sql, stages
 from hirelake.plans.registry import query
+from hirelake.session import spread
 from hirelake.sources import files
 from hirelake.sources.stages import materialize
 
@@ -113,7 +114,8 @@ def distinct_locations(spark, sf):
 
 @query("file_inventory")
 def file_inventory(spark, sf):
-    return files.file_inventory(spark, sf)
+    names = "region nation customer supplier part orders lineitem events documents embeddings pages labels".split()
+    return files.file_inventory(spark, {n: f"{sf}/{n}.parquet" for n in names})
 
 
 # ---------------------------------------------------------------- cleaning
@@ -135,12 +137,12 @@ def title_filter(spark, sf):
 
 @query("clean_text", f"SELECT doc_id, {sql.clean('text')} AS text FROM documents")
 def clean_text(spark, sf):
-    return postings.table(spark, sf, "documents").select("doc_id", text.clean_text("text").alias("text"))
+    return spread(postings.table(spark, sf, "documents")).select("doc_id", text.clean_text("text").alias("text"))
 
 
 @query("clean_pages", f"SELECT page_id, {sql.clean('html', {'&middot;': '·', '&copy;': '©'})} AS text FROM pages")
 def clean_pages(spark, sf):
-    return postings.table(spark, sf, "pages").select("page_id", text.clean_text("html").alias("text"))
+    return spread(postings.table(spark, sf, "pages")).select("page_id", text.clean_text("html").alias("text"))
 
 
 @query("dedupe_exact", "SELECT job_id, title, company_name FROM deduped")

@@ -6,6 +6,7 @@ from hirelake.functions import fixed, skills, text
 from hirelake.operators import features, folds, tfidf
 from hirelake.plans import sql, stages
 from hirelake.plans.registry import query
+from hirelake.session import spread
 
 STOP = fixed.ENGLISH_STOP_WORDS
 CLUSTER_STOP = list(dict.fromkeys([*fixed.ENGLISH_STOP_WORDS, *fixed.BOILERPLATE_WORDS]))
@@ -53,7 +54,7 @@ def cluster_text(spark, sf):
 
 @query("skill_extract", "SELECT job_id, skill FROM job_skill")
 def skill_extract(spark, sf):
-    texts = stages.jobs(spark, sf).select("job_id", F.concat_ws(" ", "title", "description_clean").alias("text"))
+    texts = spread(stages.jobs(spark, sf), "job_id").select("job_id", F.concat_ws(" ", "title", "description_clean").alias("text"))
     found = skills.with_skill_ids(texts, "text")
     return found.select("job_id", F.explode(skills.skill_names("skill_ids")).alias("skill"))
 
@@ -111,7 +112,7 @@ def _features_out(df):
 
 @query("build_features", _FEATURES)
 def build_features(spark, sf):
-    return _features_out(features.build_features(stages.jobs(spark, sf)))
+    return _features_out(features.build_features(spread(stages.jobs(spark, sf), "job_id")))
 
 
 @query("feature_variant", _FEATURES + " WHERE variant = 'without_title'")
@@ -121,7 +122,7 @@ def feature_variant(spark, sf):
 
 @query("tokenize", f"SELECT doc_id, array_to_string({sql.tokens('text')}, ' ') AS tokens FROM documents")
 def tokenize(spark, sf):
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf}/documents.parquet"))
     return docs.select("doc_id", F.concat_ws(" ", text.tokens("text")).alias("tokens"))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake.functions import text
+from hirelake.session import spread
 
 TITLES = [
     "Senior Software Engineer", "Data Analyst", "Registered Nurse", "DevOps Engineer (Remote)",
@@ -54,6 +55,7 @@ def _pick(values: list[str], index: str):
 
 def raw_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, orders, events, labels = (table(spark, sf_dir, t) for t in ("documents", "orders", "events", "labels"))
+    docs = spread(docs, "doc_id")
     joined = (
         docs.join(orders, F.col("doc_id") == F.col("o_orderkey"))
         .join(events, F.col("doc_id") == F.col("event_id"))

@@ -8,6 +8,7 @@ from hirelake.operators import cleaning, marts
 from hirelake.operators.features import build_features, group_key
 from hirelake.operators.folds import assign_group_folds, with_folds
 from hirelake.plans import postings
+from hirelake.session import spread
 from hirelake.sources import files
 from hirelake.sources.stages import STORE
 
@@ -41,7 +42,7 @@ def job_skills(spark: SparkSession, sf: str) -> DataFrame:
     """job_id, skill_ids: the skills of title and description, as dictionary positions."""
 
     def build() -> DataFrame:
-        texts = jobs(spark, sf).select("job_id", F.concat_ws(" ", "title", "description_clean").alias("text"))
+        texts = spread(jobs(spark, sf), "job_id").select("job_id", F.concat_ws(" ", "title", "description_clean").alias("text"))
         return skills.with_skill_ids(texts, "text").select("job_id", "skill_ids")
 
     return STORE.get(spark, sf, "job_skills", build)
@@ -57,12 +58,16 @@ def jobs_with_cluster(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cluster_texts(spark: SparkSession, sf: str) -> DataFrame:
-    return jobs(spark, sf).select("job_id", text.cluster_text("title", "description_clean", "company_name").alias("text"))
+    def build() -> DataFrame:
+        wide = spread(jobs(spark, sf).select("job_id", "title", "description_clean", "company_name"), "job_id")
+        return wide.select("job_id", text.cluster_text("title", "description_clean", "company_name").alias("text"))
+
+    return STORE.get(spark, sf, "cluster_texts", build)
 
 
 def features(spark: SparkSession, sf: str) -> DataFrame:
     """Both feature variants, one folder per variant."""
-    return STORE.get(spark, sf, "features", lambda: build_features(jobs(spark, sf)), ("variant",))
+    return STORE.get(spark, sf, "features", lambda: build_features(spread(jobs(spark, sf), "job_id")), ("variant",))
 
 
 def labelled(spark: SparkSession, sf: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -48,3 +48,13 @@ def work_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="hirelake-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use all cores on an input of few files, for work that is heavy per row.
+
+    A table with at least as many partitions as the cluster has cores is returned
+    as it is, so large tables are never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)

@@ -76,28 +76,24 @@ def as_sink_types(jobs: DataFrame) -> DataFrame:
     return jobs.withColumns({c: F.col(c).cast(T.FloatType()) for c in amounts if c in jobs.columns})
 
 
-def file_inventory(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> DataFrame:
-    """file, size_mb, rows, columns for each Parquet file under a folder, largest first.
+def file_inventory(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
+    """table, file, size_mb, rows, columns for every Parquet file of the given tables, largest first.
 
-    Rows come from the file footers; columns from each file's own schema.
+    Files are listed and counted by Spark from their metadata; the loop is over
+    tables, since each has a schema of its own.
     """
-    reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
-    sizes = reader.format("binaryFile").load(folder).select("path", "length")
     out = None
-    # One entry per data set, so the loop is as long as the folder has tables.
-    for path in [r.path for r in sizes.select("path").toLocalIterator()]:
+    for name, path in tables.items():
         data = spark.read.parquet(path)
-        one = data.agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(path).alias("path"), "rows", F.lit(len(data.columns)).alias("columns")
+        counted = data.groupBy(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes")).agg(
+            F.count(F.lit(1)).alias("rows")
         )
-        out = one if out is None else out.unionByName(one)
-    return (
-        sizes.join(out, "path")
-        .select(
+        one = counted.select(
+            F.lit(name).alias("table"),
             F.element_at(F.split("path", "/"), -1).alias("file"),
-            F.round(F.col("length") / 1e6, 1).alias("size_mb"),
+            F.round(F.col("bytes") / 1e6, 1).alias("size_mb"),
             "rows",
-            "columns",
+            F.lit(len(data.columns)).alias("columns"),
         )
-        .orderBy(F.desc("size_mb"), "file")
-    )
+        out = one if out is None else out.unionByName(one)
+    return out.orderBy(F.desc("size_mb"), "table", "file")
