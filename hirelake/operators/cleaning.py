@@ -201,11 +201,19 @@ def finish_postings(deduped: DataFrame, k: float = 1.5, min_city_count: int = 5)
     return out.select(*FINAL_COLUMNS)
 
 
-def build_dataset(raw: DataFrame, materialize: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
-    """Raw postings to the clean table. `materialize(df, name)` writes an
-    intermediate table and returns it read back: the fences and the city
-    dictionary each read the deduplicated rows again."""
-    return finish_postings(materialize(deduped_postings(raw), "deduped"))
+def build_dataset(
+    raw: DataFrame,
+    materialize: Callable[[DataFrame, str], DataFrame],
+    attach: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """Raw postings to the clean table.
+
+    `attach` adds the columns industries and skill_categories; it runs on the
+    rows that are left after deduplication, so dropped postings are not joined.
+    `materialize(df, name)` writes an intermediate table and returns it read back:
+    the fences and the city dictionary each read the deduplicated rows again.
+    """
+    return finish_postings(materialize(attach(deduped_postings(raw)), "deduped"))
 
 
 def funnel(raw: DataFrame, jobs: DataFrame) -> DataFrame:

@@ -275,7 +275,7 @@ LEFT JOIN (SELECT l_orderkey, string_agg(DISTINCT n_name, '|' ORDER BY n_name) A
     FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY l_orderkey) i
     ON i.l_orderkey = j.job_id""")
 def build_dataset(spark, sf):
-    jobs = cleaning.build_dataset(stages.raw_with_names(spark, sf), materialize)
+    jobs = cleaning.build_dataset(stages.raw(spark, sf), materialize, lambda df: stages.with_names(spark, sf, df))
     out = jobs.withColumns({c: F.round(c, 4) for c in ("salary_min", "salary_max", "salary_yearly")})
     return out.withColumns(
         {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("listed_date", "original_listed_date")}

@@ -19,9 +19,10 @@ def raw(spark: SparkSession, sf: str) -> DataFrame:
     return postings.raw_postings(spark, sf)
 
 
-def raw_with_names(spark: SparkSession, sf: str) -> DataFrame:
+def with_names(spark: SparkSession, sf: str, df: DataFrame) -> DataFrame:
+    """Add skill_categories and industries, the joined names of two link tables."""
     out = files.attach_names(
-        raw(spark, sf), postings.job_skill_links(spark, sf), postings.skill_mapping(spark, sf),
+        df, postings.job_skill_links(spark, sf), postings.skill_mapping(spark, sf),
         "skill_abr", "skill_name", "skill_categories",
     )
     return files.attach_names(
@@ -31,7 +32,7 @@ def raw_with_names(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def deduped(spark: SparkSession, sf: str) -> DataFrame:
-    return STORE.get(spark, sf, "deduped", lambda: cleaning.deduped_postings(raw_with_names(spark, sf)))
+    return STORE.get(spark, sf, "deduped", lambda: with_names(spark, sf, cleaning.deduped_postings(raw(spark, sf))))
 
 
 def jobs(spark: SparkSession, sf: str) -> DataFrame:
