@@ -212,8 +212,8 @@ def score_stream(spark, sf):
     return _flat(stream_scoring.read_scores(spark, sink))
 
 
-@query("saved_pipeline")
-def saved_pipeline(spark, sf):
+@query("saved_model")
+def saved_model(spark, sf):
     """A stored model, loaded again, scores raw postings."""
     path = _path(spark, "model")
     fitted(spark, sf, "Logistic Regression").save(path)
