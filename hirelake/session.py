@@ -37,17 +37,21 @@ def local_session(cpus: int = 8, memory: str = "12g", app: str = "hirelake") ->
 def work_dir(spark: SparkSession) -> str:
     """The shared folder for written tables: what `spark.checkpoint.dir` names.
 
-    Where it is unset, a local master gets a temporary folder of its own; a
-    cluster gets an error, since a machine-local folder is lost with its machine.
+    Where it is unset, a session whose only machine is this one gets a temporary folder, one for the
+    application; a cluster gets an error, since a machine-local folder is lost with its machine.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    context = spark.sparkContext
+    if context.master != "local" and not context.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a shared folder")
-    folder = tempfile.mkdtemp(prefix="hirelake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _OWN_FOLDERS:
+        _OWN_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="hirelake-")
+    return _OWN_FOLDERS[context.applicationId]
+
+
+_OWN_FOLDERS: dict[str, str] = {}
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
