@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelake.llm import byte_bpe, common, packing, secrets, token_counts
+from hirelake.llm import byte_bpe, common, exact_search, near_search, packing, secrets, token_counts, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +24,25 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+OP2_SQL = f"""
+WITH rules(rule, listed) AS (VALUES {", ".join(f"('{r}', '{v}')" for r, v in RULES.items())}),
+judged AS (SELECT row_number() OVER () AS n, page_id,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path FROM pages),
+parts AS (SELECT rule, listed, split_part(rule, '/', 1) AS rule_host, substr(rule, strpos(rule, '/')) AS rule_path FROM rules)
+SELECT page_id, host, path, arg_max(rule, length(rule)) AS rule, coalesce(arg_max(listed, length(rule)), 'allow') AS verdict
+FROM judged LEFT JOIN parts ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+GROUP BY n, page_id, host, path"""
+
+
+@query("op2_url_filter", OP2_SQL)
+def op2(spark, sf):
+    listed = spark.createDataFrame(list(RULES.items()), "rule string, verdict string")
+    return url_filter.judge(common.table(spark, sf, "pages"), listed)
+
+
 @query("op3_byte_bpe")
 def op3(spark, sf):
     """Encodes every document, decodes the ids again, and gives digests of both."""
@@ -59,11 +78,32 @@ def op4(spark, sf):
     )
 
 
+@query("op6_near_search")
+def op6(spark, sf):
+    vectors = common.table(spark, sf, "embeddings")
+    return near_search.nearest(vectors.where("vec_id % 20 = 0"), vectors, k=20)
+
+
 @query("op7_token_counts")
 def op7(spark, sf):
     return token_counts.token_counts(common.table(spark, sf, "documents"), "piece_bpe_32k.model", 4096)
 
 
+OP8_SQL = """
+WITH whole AS (SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scores AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+    FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v))
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scores QUALIFY rank <= 5"""
+
+
+@query("op8_exact_search", OP8_SQL)
+def op8(spark, sf):
+    vectors = common.table(spark, sf, "embeddings")
+    return exact_search.top_k(vectors.where("vec_id % 50 = 0"), vectors, k=5, levels=256)
+
+
 @query("op10_packing")
 def op10(spark, sf):
     return packing.pack(common.table(spark, sf, "documents"), "word_bpe_49k.json", 4096, end_id=1)
