@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelake.llm import byte_bpe, common, exact_search, near_search, packing, secrets, token_counts, url_filter
+from hirelake.llm import byte_bpe, common, exact_search, jaccard_join, near_search, packing, secrets, token_counts, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -104,6 +104,12 @@ def op8(spark, sf):
     return exact_search.top_k(vectors.where("vec_id % 50 = 0"), vectors, k=5, levels=256)
 
 
+@query("op9_ngram_jaccard")
+def op9(spark, sf):
+    """Links at 85 % of 4-word shingles."""
+    return jaccard_join.near_duplicates(common.table(spark, sf, "documents"), jaccard_join.Likeness(words=4, least=17, of=20))
+
+
 @query("op10_packing")
 def op10(spark, sf):
     return packing.pack(common.table(spark, sf, "documents"), "word_bpe_49k.json", 4096, end_id=1)
