@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelake.llm import byte_bpe, common, exact_search, jaccard_join, near_search, packing, secrets, token_counts, url_filter
+from hirelake.llm import byte_bpe, common, exact_search, jaccard_join, near_search, packing, secrets, substring_dedup, token_counts, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +24,13 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_substring_dedup")
+def op1(spark, sf):
+    """Passages of 35 words and more that occur twice are taken out."""
+    out = substring_dedup.remove_repeats(common.table(spark, sf, "documents"), window=35)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
 RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
 
 OP2_SQL = f"""
