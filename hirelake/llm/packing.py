@@ -158,8 +158,8 @@ def encode_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -
     def run(batch: pa.RecordBatch) -> dict:
         memory = vocab.word_memory(tokenizer)
         out = {n: [] for n in ("row", "piece", "start", "length", "ids_crc32")}
-        for row, text in enumerate(common.texts_of(batch)):
-            ids = vocab.word_ids(memory, text) + end
+        for row, ids in enumerate(vocab.word_ids(memory, common.texts_of(batch))):
+            ids += end
             for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                 part = ids[at : at + 4 * capacity]
                 for name, value in zip(out, (row, piece, at // 4, len(part) // 4, zlib.crc32(part))):
