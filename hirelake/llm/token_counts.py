@@ -75,7 +75,7 @@ def token_counts(docs: DataFrame, model: str = "piece_bpe_32k.model", limit: int
     def run(batches):
         known = held.value
         for batch in batches:
-            doc, key, size, piece, times, tokens, copies = [], [], [], [], [], [], []
+            doc, key, size, piece, number = [], [], [], [], []
             ids, keys = batch.column("doc_id").to_pylist(), batch.column("key").to_pylist()
             for d, k, text in zip(ids, keys, common.texts_of(batch)):
                 total, open_ = 0, []
@@ -85,21 +85,20 @@ def token_counts(docs: DataFrame, model: str = "piece_bpe_32k.model", limit: int
                     else:
                         open_.append((p, n))
                 # The document's own row: no pre-token has a space within, so its name meets none.
-                rows = [(f"- {d} {k}", 0, total, 1), *((p, n, 0, 0) for p, n in open_)]
+                rows = [(f"- {d} {k}", total), *open_]
                 doc += [d] * len(rows)
                 key += [k] * len(rows)
-                size += [len(text.encode())] * len(rows)
-                for column, values in zip((piece, times, tokens, copies), zip(*rows)):
-                    column += values
-            columns = [pa.array(doc, pa.int64()), pa.array(key, pa.int64()), pa.array(size, pa.int64()), pa.array(piece, pa.string())]
-            columns += [pa.array(c, pa.int64()) for c in (times, tokens, copies)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "n_bytes", "piece", "times", "known", "copies"])
-
-    schema = "doc_id bigint, key bigint, n_bytes bigint, piece string, times bigint, known bigint, copies bigint"
+                size += [len(text.encode()), *[None] * len(open_)]
+                piece += [r[0] for r in rows]
+                number += [r[1] for r in rows]
+            columns = [pa.array(c, pa.int64()) for c in (doc, key, size, number)] + [pa.array(piece, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "n_bytes", "number", "piece"])
+
+    schema = "doc_id bigint, key bigint, n_bytes bigint, number bigint, piece string"
     parts = docs.select("doc_id", "text", common.text_key("text").alias("key")).mapInArrow(run, schema)
     joined = parts.join(counted.select("piece", F.col("tokens").alias("each")), "piece", "left")
-    total = F.sum(F.col("known") + F.col("times") * F.coalesce("each", F.lit(0)))
-    per_doc = joined.groupBy("doc_id", "key", "n_bytes").agg(total.alias("total"), F.sum("copies").alias("copies"))
+    total = F.sum(F.when(F.col("n_bytes").isNotNull(), F.col("number")).otherwise(F.col("number") * F.col("each")))
+    per_doc = joined.groupBy("doc_id", "key").agg(total.alias("total"), F.max("n_bytes").alias("n_bytes"), F.count("n_bytes").alias("copies"))
     return per_doc.select(
         "doc_id", "n_bytes", F.expr("total div copies").alias("n_tokens"), F.expr(f"total div copies > {limit}").alias("over_limit"),
         F.explode(F.expr("sequence(1L, copies)")).alias("copy"),
