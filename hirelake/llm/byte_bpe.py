@@ -8,7 +8,6 @@ used up to that boundary, the right one after it. A text in which two neighbours
 """
 
 import functools
-import hashlib
 from collections import defaultdict
 
 import pyarrow as pa
@@ -28,7 +27,7 @@ def _encoder(ranks: str, pattern: str):
 
     bpe = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=vocab.rank_file(ranks), special_tokens={})
     merge = bpe._core_bpe.encode_single_piece
-    return regex.compile(pattern), vocab.Memory(lambda piece: vocab.ids_to_bytes(merge(piece.encode())))
+    return regex.compile(pattern), vocab.Memory(lambda piece: vocab.ids_to_bytes(merge(piece.encode())), vocab.PIECES_REMEMBERED)
 
 
 @functools.lru_cache(maxsize=2)
@@ -169,7 +168,3 @@ def decode(encoded: DataFrame, ranks: str) -> DataFrame:
         return {"doc_id": batch.column("doc_id"), "ids": ids, "text": pa.array([decode_ids(i or b"", ranks) for i in ids.to_pylist()], pa.binary())}
 
     return common.per_batch(encoded.select("doc_id", "ids"), run, "doc_id bigint, ids binary, text binary")
-
-
-def sha256(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()

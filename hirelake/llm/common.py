@@ -82,6 +82,13 @@ def chain(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mix(left * np.uint64(0x9E3779B97F4A7C15) + right)
 
 
+def powers(base: int, n: int) -> np.ndarray:
+    """base ** 0 .. base ** (n - 1), modulo 2^64."""
+    steps = np.full(n, base & (2**64 - 1), dtype=np.uint64)
+    steps[:1] = 1
+    return np.cumprod(steps, dtype=np.uint64)
+
+
 class Words:
     """Words (runs without ASCII white space) of an Arrow text column, as positions in its bytes.
 

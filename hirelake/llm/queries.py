@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelake.llm import byte_bpe, common, exact_search, jaccard_join, near_search, packing, secrets, substring_dedup, token_counts, url_filter
+from hirelake.llm import byte_bpe, common, exact_search, jaccard_join, near_search, packing, secrets, substring_dedup, token_counts, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,15 +57,15 @@ def op3(spark, sf):
     encoded = byte_bpe.encode(common.table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN)
 
     def digest(batch: pa.RecordBatch) -> dict:
-        ids, texts = batch.column("ids").to_pylist(), batch.column("text").to_pylist()
+        ids = batch.column("ids").to_pylist()
         return {
             "doc_id": batch.column("doc_id"),
             "n_tokens": pa.array([len(i) // 4 for i in ids], pa.int64()),
             "ids_sha256": pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string()),
-            "decoded_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
+            "decoded_sha256": pa.array([hashlib.sha256(byte_bpe.decode_ids(i, ranks)).hexdigest() for i in ids], pa.string()),
         }
 
-    return common.per_batch(byte_bpe.decode(encoded, ranks), digest, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return common.per_batch(encoded, digest, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
 def _of_kinds(spans, kinds):
@@ -85,6 +85,16 @@ def op4(spark, sf):
     )
 
 
+@query("op5_toxicity")
+def op5(spark, sf):
+    docs = common.table(spark, sf, "documents")
+    net = toxicity.fit(docs, common.table(spark, sf, "labels"))
+    score = F.col("score")
+    return toxicity.score(docs, net).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (score >= 0.5).cast("int").alias("predicted")
+    )
+
+
 @query("op6_near_search")
 def op6(spark, sf):
     vectors = common.table(spark, sf, "embeddings")

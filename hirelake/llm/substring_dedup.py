@@ -37,12 +37,6 @@ def prefix_words(window: int) -> int:
     return max(-(-window // 3), window - MOST_BEFORE + 1)
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    steps = np.full(n, base & (2**64 - 1), dtype=np.uint64)
-    steps[:1] = 1
-    return np.cumprod(steps, dtype=np.uint64)
-
-
 class Anchors:
     """Suffixes that stand for the windows of a batch of texts: row, word position, the windows' first and last start, prefix hash, class hash."""
 
@@ -74,8 +68,8 @@ class Anchors:
         self.row = np.searchsorted(words.first, place, side="right") - 1
         self.first = words.first[self.row]
         self.key = order[place]
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * _powers(_R, n), dtype=np.uint64)])
-        back = _powers(pow(_R, -1, 2**64), n)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * common.powers(_R, n), dtype=np.uint64)])
+        back = common.powers(pow(_R, -1, 2**64), n)
         self.at = place - self.first
         text = (sums[self.high + window] - sums[self.low]) * back[self.low]
         shape = ((place - self.low).astype(np.uint64) << np.uint64(32)) + (place - self.high).astype(np.uint64)
