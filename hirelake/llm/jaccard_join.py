@@ -5,10 +5,10 @@ two sets differ in no more bits than the sets in shingles. Sets similar enough d
 part more than that, some part is the same in both. So documents meet by equality on (size cell, part, bits), and every pair that
 is to be linked meets. Sizes are covered by overlapping cells, since similar sets have similar sizes.
 
-Documents of equal sets are one class and go through once. In a group of classes that meet, each is compared with the smallest
-only, within tasks first, so the work grows with the group, not with its square. Classes that end up connected need no more
-comparing. In the groups that still hold several components, whole sketches (1,024 bits) are compared across components, and
-pairs that these do not rule out are compared exactly. No pair is left out: what met is compared or already connected.
+Documents of equal sets are one class and go through once. In a group of classes that meet, each meets the smallest only, within tasks first,
+and is compared with one class, so the work grows with the group, not with its square. Classes that end up connected need no more
+comparing. In the groups that still hold several components, whole sketches (1,024 bits) are compared across components, and pairs that these
+do not rule out are compared exactly, nearest first, until every such pair is compared or connected. No pair is left out.
 """
 
 import itertools
@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hirelake.llm import common
@@ -32,6 +32,8 @@ SPARE_PARTS = 1
 SPARE_FROM = 8
 #: Members of a group that are compared in one task; larger groups are compared block by block.
 COMPARED_TOGETHER = 2_048
+#: Pairs of two components that are compared exactly in the first round, nearest sketches first; each round as many times more.
+TRIED_TOGETHER = 8
 #: Rows that are sent to every executor at most, else joined by a shuffle.
 SENT_WHOLE = 200_000
 
@@ -252,7 +254,7 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, like: Likene
 
 
 def _across(groups: DataFrame, like: Likeness) -> DataFrame:
-    """a, b: pairs of classes of a key but of different components whose sketches leave a link open.
+    """a, b, apart: pairs of classes of a key but of different components whose sketches leave a link open; the bits they differ in.
 
     Large groups are cut into blocks; each pair of blocks is compared in one task.
     """
@@ -269,23 +271,33 @@ def _across(groups: DataFrame, like: Likeness) -> DataFrame:
         sketch = table.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(cls), -1)
         left, right = table.column("left")[0].as_py(), table.column("right")[0].as_py()
         a_rows, b_rows = np.flatnonzero(block == left), np.flatnonzero(block == right)
-        out_a, out_b = [], []
+        out_a, out_b, out_apart = [], [], []
         for i in a_rows:
             j = b_rows[(component[b_rows] != component[i]) & ((cls[b_rows] > cls[i]) if left == right else True)]
             apart = np.bitwise_count(sketch[j] ^ sketch[i]).sum(axis=1, dtype=np.int64)
-            j = j[apart * (like.of + like.least) <= (n[j] + n[i]) * (like.of - like.least)]
+            open_ = apart * (like.of + like.least) <= (n[j] + n[i]) * (like.of - like.least)
+            j = j[open_]
+            out_apart.append(apart[open_])
             out_a.append(np.minimum(cls[j], cls[i]))
             out_b.append(np.maximum(cls[j], cls[i]))
-        return pa.table({"a": pa.array(np.concatenate(out_a or [cls[:0]]), pa.int64()), "b": pa.array(np.concatenate(out_b or [cls[:0]]), pa.int64())})
+        columns = [pa.array(np.concatenate(c or [cls[:0]]), pa.int64()) for c in (out_a, out_b, out_apart)]
+        return pa.table(columns, ["a", "b", "apart"])
 
-    return cells.groupBy("key", "left", "right").applyInArrow(compare, "a bigint, b bigint").distinct()
+    return cells.groupBy("key", "left", "right").applyInArrow(compare, "a bigint, b bigint, apart bigint").distinct()
+
+
+def _members(rows: DataFrame, found: DataFrame, node: str, name: str = "component") -> DataFrame:
+    """Adds the component of a column of classes; a class without links is its own."""
+    known = found.select(F.col("node").alias(node), F.col("component").alias(name))
+    return rows.join(known, node, "left").withColumn(name, F.coalesce(name, node))
 
 
 def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     """doc_id, n_shingles, component_id, links of each document of `docs` (doc_id, text).
 
     Two documents are linked if their shingle sets are similar enough; component_id is the smallest doc_id reachable by links, itself
-    included. `links` counts the links between different sets that were looked at; copies are not counted. Documents without words (null, empty)
+    included. `links` counts the links between different sets that
+    were looked at on the way to the components, so at least one if there are any; copies are not counted. Documents without words (null, empty)
     are linked with nothing and have their own id. Rows of equal doc_id are documents of their own; other columns are ignored; an empty
     table gives an empty table.
     """
@@ -299,23 +311,32 @@ def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     pairs = shared.where("cls <> hub").select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
     for side in ("a", "b"):
         pairs = pairs.join(classes.select(F.col("cls").alias(side), F.col("n").alias(f"{side}_n"), F.col("sketch").alias(f"{side}_sketch")), side)
-    pairs = common.stored(pairs.where(_near("a", "b", like)).select("a", "b"), "pairs")
-    links = common.stored(verified(pairs, docs, classes, like), "links")
+    pairs = pairs.where(_near("a", "b", like)).groupBy("b").agg(F.min("a").alias("a"))  # one to compare with for each class
+    tried = common.stored(pairs.select("a", "b"), "pairs")
+    links = common.stored(verified(tried, docs, classes, like), "links")
     found = common.stored(components(links), "components")
 
-    members = shared.select("key", "cls").distinct().join(found.withColumnRenamed("node", "cls"), "cls", "left")
-    members = members.withColumn("component", F.coalesce("component", "cls"))
-    mixed = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    groups = members.join(mixed, "key").join(classes.select("cls", "n", "sketch"), "cls")
-    seen = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = common.stored(_across(groups, like).join(seen, ["a", "b"], "left_anti"), "pairs")
-    more = common.stored(links.unionByName(verified(rest, docs, classes, like)), "links")
-    found = common.stored(components(more), "components")
+    groups = _members(shared.select("key", "cls").distinct(), found, "cls")
+    mixed = groups.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
+    groups = groups.join(mixed, "key").join(classes.select("cls", "n", "sketch"), "cls")
+    open_ = common.stored(_across(groups, like), "open-pairs")
+    most = TRIED_TOGETHER
+    while True:
+        left = open_.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+        left = _members(_members(left, found, "a", "a_in"), found, "b", "b_in").where("a_in <> b_in")
+        nearest = Window.partitionBy(F.least("a_in", "b_in"), F.greatest("a_in", "b_in")).orderBy("apart", "a", "b")
+        chosen = left.withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= most).select("a", "b")
+        chosen = common.stored(chosen, "pairs")
+        if chosen.isEmpty():
+            break
+        links = common.stored(links.unionByName(verified(chosen, docs, classes, like)), "links")
+        found = common.stored(components(links), "components")
+        tried, most = common.stored(tried.unionByName(chosen), "tried"), most * TRIED_TOGETHER
 
     joined = classes.select("cls", "rep").join(found.withColumnRenamed("node", "cls"), "cls", "left")
     joined = joined.select("cls", "rep", F.coalesce("component", "cls").alias("component"))
     smallest = joined.groupBy("component").agg(F.min("rep").alias("component_id"))
-    degree = more.select(F.explode(F.array("u", "v")).alias("cls")).groupBy("cls").agg(F.count(F.lit(1)).alias("links"))
+    degree = links.select(F.explode(F.array("u", "v")).alias("cls")).groupBy("cls").agg(F.count(F.lit(1)).alias("links"))
     of_class = joined.join(smallest, "component").join(degree, "cls", "left").select("cls", "component_id", F.coalesce("links", F.lit(0)).alias("links"))
     of_class = common.stored(of_class, "of-class")
     linked = some.select("doc_id", "n_shingles", "cls").join(of_class, "cls").select("doc_id", "n_shingles", "component_id", "links")
