@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from hirelake.sources.stages import materialize
 
@@ -33,18 +34,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, f"llm-{name}")
 
 
-def per_batch(df: DataFrame, make: Callable[[pa.RecordBatch], dict | None], schema: str) -> DataFrame:
-    """Apply a function from an Arrow batch to columns, batch by batch."""
+def per_batch(df: DataFrame, make: Callable[[pa.RecordBatch], dict], schema: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Apply a function from an Arrow batch to columns, batch by batch; `keep` names input columns that stay before them.
 
-    names = [part.strip().split(" ")[0] for part in re.split(r",(?![^<]*>)", schema)]
+    A kept column of the name of a made one is left out.
+    """
+    made = StructType.fromDDL(schema)
+    kept = [c for c in keep if c not in made.names]
+    names = [*kept, *made.names]
 
     def run(batches):
         for batch in batches:
-            out = make(batch) if batch.num_rows else None
-            if out is not None:
-                yield pa.RecordBatch.from_arrays([_array(out[n]) for n in names], names=names)
+            if batch.num_rows:
+                out = make(batch)
+                columns = [batch.column(c) for c in kept] + [_array(out[n]) for n in made.names]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(run, StructType([*(df.schema[c] for c in kept), *made.fields]))
 
 
 def _array(values) -> pa.Array:

@@ -122,3 +122,17 @@ def find_secrets(docs: DataFrame) -> DataFrame:
         return {"doc_id": batch.column("doc_id"), "spans": pa.array(spans, _SPANS)}
 
     return common.per_batch(docs.select("doc_id", "text"), run, f"doc_id bigint, spans {SPANS}")
+
+
+def redacted(docs: DataFrame) -> DataFrame:
+    """`docs` with every secret in `text` replaced by a mark of its kind; texts without secrets, and null ones, stay as they are.
+
+    All columns stay; repeated rows are treated each.
+    """
+
+    def run(batch: pa.RecordBatch) -> dict:
+        texts = batch.column("text").to_pylist()
+        return {"text": pa.array([redact(t, scan_text(t)) if t else t for t in texts], pa.string())}
+
+    made = common.per_batch(docs, run, "text string", tuple(docs.columns))
+    return made.select(*docs.columns)

@@ -85,8 +85,11 @@ def _unpack(at: np.ndarray):
     return at >> 16, (at >> 8) & 255, at & 255
 
 
-def _rows(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "text", F.xxhash64("text", "doc_id").alias("doc"))
+def _rows(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """The columns kept, under one name, beside the text and the number of the row's document."""
+    others = dict.fromkeys(["doc_id", *keep])
+    others.pop("text", None)
+    return docs.select("text", F.xxhash64("text", "doc_id").alias("doc"), F.struct(*others).alias("row"))
 
 
 def suffix_classes(rows: DataFrame, window: int) -> DataFrame:
@@ -239,15 +242,16 @@ def repeated_windows(rows: DataFrame, window: int) -> DataFrame:
     return every.groupBy("key", "cls").agg(F.bit_or("mask").alias("mask"))
 
 
-def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
-    """doc_id, n_words, n_removed, kept of every document of `docs` (doc_id, text).
+def remove_repeats(docs: DataFrame, window: int = 35, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns `keep`, n_words, n_removed and kept of every document of `docs` (doc_id, text).
 
     A word is removed if a window that covers it also starts elsewhere, in the same document or another; windows are judged on the
     input. kept is the other words joined by one space. Null and empty texts have no words and keep an empty text. Documents shorter than a window keep
-    all words. Repeated rows are documents of their own, so their windows repeat. Other columns are ignored; an empty table gives an empty
+    all words. Repeated rows are documents of their own, so their windows repeat. Columns not kept are ignored; kept ones must not be named
+    n_words, n_removed or kept; an empty table gives an empty
     table.
     """
-    rows = _rows(docs)
+    rows = _rows(docs, keep)
     marks = common.stored(repeated_windows(rows, window), "repeated-windows")
 
     def locate(batch: pa.RecordBatch) -> dict:
@@ -281,9 +285,10 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
             removed.append(int(len(mine) - mine.sum()))
             kept.append(b" ".join(own if not removed[-1] else [w for w, s in zip(own, mine.tolist()) if s]).decode())
         return {
-            "doc_id": batch.column("doc_id"), "n_words": pa.array(words.counts(), pa.int64()),
+            "n_words": pa.array(words.counts(), pa.int64()),
             "n_removed": pa.array(removed, pa.int64()), "kept": pa.array(kept, pa.string()),
         }
 
-    joined = rows.join(hits, "doc", "left").select("doc_id", "text", "hits")
-    return common.per_batch(joined, cut_out, "doc_id bigint, n_words bigint, n_removed bigint, kept string")
+    joined = rows.join(hits, "doc", "left").select("row", "text", "hits")
+    out = common.per_batch(joined, cut_out, "n_words bigint, n_removed bigint, kept string", ("row", "text"))
+    return out.select(*[F.col("text") if c == "text" else F.col(f"row.{c}") for c in keep], "n_words", "n_removed", "kept")

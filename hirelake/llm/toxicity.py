@@ -319,15 +319,15 @@ def score_batch(column: pa.Array, net: Network) -> np.ndarray:
     return 1 / (1 + np.exp(-top))
 
 
-def score(docs: DataFrame, net: Network) -> DataFrame:
-    """doc_id, score (0 to 1) of each document of `docs` (doc_id, text), over all windows of its whole text.
+def score(docs: DataFrame, net: Network, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns `keep` and score (0 to 1) of each row of `docs` (doc_id, text), over all windows of its whole text.
 
-    A row for each row; only the text matters. Null and empty texts get the network's score for no input. Other columns are
-    ignored; an empty table gives an empty table.
+    Only the text matters. Null and empty texts get the network's score for no input. Columns not kept are ignored; a kept column named
+    score gives way. An empty table gives an empty table.
     """
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
     def run(batch: pa.RecordBatch) -> dict:
-        return {"doc_id": batch.column("doc_id"), "score": score_batch(batch.column("text"), shared.value)}
+        return {"score": score_batch(batch.column("text"), shared.value)}
 
-    return common.per_batch(docs.select("doc_id", "text"), run, "doc_id bigint, score double")
+    return common.per_batch(docs.select(*dict.fromkeys([*keep, "text"])), run, "score double", keep)
