@@ -7,7 +7,7 @@ is to be linked meets. Sizes are covered by overlapping cells, since similar set
 
 Documents of equal sets are one class and go through once. In a group of classes that meet, each meets the smallest only, within tasks first,
 and is compared with one class, so the work grows with the group, not with its square. Classes that end up connected need no more
-comparing. In the groups that still hold several components, whole sketches (1,024 bits) are compared across components, and pairs that these
+comparing. In the groups that still hold several components, whole sketches (some bits for each shingle) are compared across components, and pairs that these
 do not rule out are compared exactly, nearest first, until every such pair is compared or connected. No pair is left out.
 """
 
@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from hirelake.llm import common
 from hirelake.llm.components import components
 
-SKETCH_BITS = 1024
+#: Bits of a whole sketch for each shingle, at least, and of any sketch at least; rounded up to a power of two.
+BITS_PER_SHINGLE, LEAST_BITS = 4, 256
 #: Keys a task gathers before it links those that are alike among them and hands them on.
 GATHERED = 1_000_000
 #: Width of a size cell: its largest size over its smallest.
@@ -94,9 +95,13 @@ def _class(found: np.ndarray) -> np.uint64:
 
 
 def _sketch(found: np.ndarray) -> np.ndarray:
-    """1,024 bits as 16 integers, each bit the parity of the shingles that fall on it."""
-    places = (common.mix(found ^ np.uint64(0x0DD)) % np.uint64(SKETCH_BITS)).astype(np.int64)
-    return np.packbits(np.bincount(places, minlength=SKETCH_BITS).astype(np.uint8) & 1).view(np.int64)
+    """A power of two of bits as 64-bit integers, each bit the parity of the shingles that fall on it.
+
+    The two halves added without carry are the sketch of half the size, so sketches of any sizes compare.
+    """
+    bits = max(LEAST_BITS, 1 << (BITS_PER_SHINGLE * len(found) - 1).bit_length()) if len(found) else LEAST_BITS
+    places = (common.mix(found ^ np.uint64(0x0DD)) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(places, minlength=bits).astype(np.uint8) & 1).view(np.int64)
 
 
 def summaries(docs: DataFrame, words: int) -> DataFrame:
@@ -215,12 +220,20 @@ def _meet(carry, batch):
     return carry, pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["key", "cls", "hub"])
 
 
+def _halved(a: str, b: str):
+    """The sketch a, brought down to the size of b if it is larger (sizes in a cell differ by one step at most)."""
+    half = (F.size(a) / 2).cast("int")
+    halves = F.zip_with(F.slice(a, 1, half), F.slice(a, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+    return F.when(F.size(a) > F.size(b), halves).otherwise(F.col(a))
+
+
 def _near(a: str, b: str, like: Likeness):
-    """Whether two sketches leave it open that their sets are linked."""
-    total = F.col(f"{a}_n") + F.col(f"{b}_n")
-    differing = F.zip_with(f"{a}_sketch", f"{b}_sketch", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-    apart = F.aggregate(differing, F.lit(0), lambda sum_, x: sum_ + x)
-    return apart * (like.of + like.least) <= total * (like.of - like.least)
+    """Whether sizes and sketches of two sets leave it open that they are linked."""
+    x, y = F.col(f"{a}_n"), F.col(f"{b}_n")
+    differing = F.zip_with(_halved(f"{a}_sketch", f"{b}_sketch"), _halved(f"{b}_sketch", f"{a}_sketch"), lambda u, v: F.bit_count(u.bitwiseXOR(v)))
+    apart = F.aggregate(differing, F.lit(0), lambda sum_, u: sum_ + u)
+    sizes = F.least(x, y) * like.of >= F.greatest(x, y) * like.least
+    return sizes & (apart * (like.of + like.least) <= (x + y) * (like.of - like.least))
 
 
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, like: Likeness) -> DataFrame:
@@ -266,24 +279,60 @@ def _across(groups: DataFrame, like: Likeness) -> DataFrame:
         "key", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "block", "cls", "component", "n", "sketch"
     )
 
-    def compare(table: pa.Table) -> pa.Table:
-        cls, component, n, block = (table.column(c).to_numpy() for c in ("cls", "component", "n", "block"))
-        sketch = table.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(cls), -1)
-        left, right = table.column("left")[0].as_py(), table.column("right")[0].as_py()
-        a_rows, b_rows = np.flatnonzero(block == left), np.flatnonzero(block == right)
-        out_a, out_b, out_apart = [], [], []
+    def compare(rows: dict, out: list) -> None:
+        cls, component, n, block, sketch = rows["cls"], rows["component"], rows["n"], rows["block"], rows["sketch"]
+        shortest = min(len(x) for x in sketch)
+        folded = np.stack([np.bitwise_xor.reduce(x.reshape(-1, shortest), axis=0) for x in sketch])
+        a_rows, b_rows = np.flatnonzero(block == rows["left"][0]), np.flatnonzero(block == rows["right"][0])
         for i in a_rows:
-            j = b_rows[(component[b_rows] != component[i]) & ((cls[b_rows] > cls[i]) if left == right else True)]
-            apart = np.bitwise_count(sketch[j] ^ sketch[i]).sum(axis=1, dtype=np.int64)
+            j = b_rows[(component[b_rows] != component[i]) & ((cls[b_rows] > cls[i]) | (rows["left"][0] != rows["right"][0]))]
+            j = j[np.minimum(n[j], n[i]) * like.of >= np.maximum(n[j], n[i]) * like.least]
+            apart = np.bitwise_count(folded[j] ^ folded[i]).sum(axis=1, dtype=np.int64)
             open_ = apart * (like.of + like.least) <= (n[j] + n[i]) * (like.of - like.least)
             j = j[open_]
-            out_apart.append(apart[open_])
-            out_a.append(np.minimum(cls[j], cls[i]))
-            out_b.append(np.maximum(cls[j], cls[i]))
-        columns = [pa.array(np.concatenate(c or [cls[:0]]), pa.int64()) for c in (out_a, out_b, out_apart)]
-        return pa.table(columns, ["a", "b", "apart"])
+            out.append((np.minimum(cls[j], cls[i]), np.maximum(cls[j], cls[i]), apart[open_]))
 
-    return cells.groupBy("key", "left", "right").applyInArrow(compare, "a bigint, b bigint, apart bigint").distinct()
+    names = ["key", "left", "right", "block", "cls", "component", "n"]
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            table = pa.Table.from_batches(held)
+            last = [table.column(c)[-1].as_py() for c in names[:3]]
+            same = np.logical_and.reduce([table.column(c).to_numpy() == x for c, x in zip(names[:3], last)])
+            whole = len(same) - int(np.argmin(same[::-1])) if not same.all() else 0
+            if whole:
+                yield from compared(table.slice(0, whole))
+                held = table.slice(whole).combine_chunks().to_batches()
+        if held:
+            yield from compared(pa.Table.from_batches(held))
+
+    def compared(table: pa.Table):
+        columns = {c: table.column(c).to_numpy() for c in names}
+        lists = table.column("sketch").combine_chunks()
+        at, words = lists.offsets.to_numpy(), lists.flatten().to_numpy().view(np.uint64)
+        at = at - at[0]
+        edges = np.flatnonzero(np.concatenate([[True], np.logical_or.reduce([columns[c][1:] != columns[c][:-1] for c in names[:3]]), [True]]))
+        out: list = []
+        for a, b in zip(edges[:-1], edges[1:]):
+            sketch = [words[at[k] : at[k + 1]] for k in range(a, b)]
+            compare({**{c: columns[c][a:b] for c in names}, "sketch": sketch}, out)
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*out)], ["a", "b", "apart"])
+
+    dealt = cells.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right")
+    # The same pair may meet in several groups, folded to different sizes: the widest comparison counts.
+    return dealt.mapInArrow(run, "a bigint, b bigint, apart bigint").groupBy("a", "b").agg(F.max("apart").alias("apart"))
+
+
+def _groups(shared: DataFrame) -> DataFrame:
+    """key, cls: the groups of classes that meet. Keys of the same classes are one group."""
+    members = shared.select("key", "cls").distinct()
+    marks = [F.bit_xor(F.xxhash64("cls", F.lit(i))).alias(f"mark{i}") for i in range(2)]
+    alike = members.groupBy("key").agg(F.count(F.lit(1)).alias("members"), *marks)
+    keys = alike.groupBy("members", "mark0", "mark1").agg(F.min("key").alias("key")).select("key")
+    return members.join(keys, "key")
 
 
 def _members(rows: DataFrame, found: DataFrame, node: str, name: str = "component") -> DataFrame:
@@ -316,7 +365,7 @@ def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     links = common.stored(verified(tried, docs, classes, like), "links")
     found = common.stored(components(links), "components")
 
-    groups = _members(shared.select("key", "cls").distinct(), found, "cls")
+    groups = _members(common.stored(_groups(shared), "groups"), found, "cls")
     mixed = groups.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
     groups = groups.join(mixed, "key").join(classes.select("cls", "n", "sketch"), "cls")
     open_ = common.stored(_across(groups, like), "open-pairs")
