@@ -47,7 +47,9 @@ def deduplicate(
     ]
     # The digest of each part has a fixed length, so no part can run into the next.
     key = F.sha2(F.concat(*[F.sha2(F.coalesce(p, F.lit("")), 256) for p in parts]), 256)
-    first = F.min_by(F.struct(*df.columns), F.col(order)).alias("row")
+    # NULL ids come last instead of being left out; equal ones are told apart by a digest of the row.
+    rank = F.struct(F.col(order).isNull().alias("none"), F.col(order).alias("id"), F.xxhash64(*df.columns).alias("row"))
+    first = F.min_by(F.struct(*df.columns), rank).alias("row")
     return df.groupBy(key.alias("_key")).agg(first).select("row.*")
 
 

@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MOST_PER_WINDOW = 65_536
+#: Hashed parts of every cell, ranked one by one whatever the cell's size.
+PARTS = 1024
 
 
 def assign_group_folds(df: DataFrame, group: str, label: str, classes: list[str], folds: int = 5) -> DataFrame:
@@ -12,9 +13,9 @@ def assign_group_folds(df: DataFrame, group: str, label: str, classes: list[str]
     Groups are dealt to the folds back and forth, in the order of how many rows
     of the rarest class they hold, then of the next rarest, then by size. Counts
     are ordered by their power of two, so there are at most a few thousand
-    classes of groups ("cells") however many groups exist. A running total over
-    the cells gives each its place in the deal; inside a cell groups are ranked,
-    and a cell of very many groups (single postings) is ranked in several parts.
+    classes of groups ("cells") however many groups exist. Every cell is dealt in
+    the same number of hashed parts; a running total over cells, then over the parts
+    of each, gives a part its place in the deal, and groups are ranked within their part.
     """
     counts = [F.count_if(F.col(label) == c).alias(f"n{i}") for i, c in enumerate(classes)]
     groups = df.where(F.col(label).isNotNull()).groupBy(group).agg(*counts, F.count(F.lit(1)).alias("size"))
@@ -27,21 +28,21 @@ def assign_group_folds(df: DataFrame, group: str, label: str, classes: list[str]
     groups = groups.withColumn("_m", magnitude).withColumn("_order", order)
     groups = groups.withColumn("cell", F.expr("transform(_order, i -> _m[i])")).select(group, "cell", "size")
 
-    cells = groups.groupBy("cell").agg(F.count(F.lit(1)).alias("cell_groups"))
-    upto = F.sum("cell_groups").over(Window.partitionBy(F.lit(0)).orderBy(F.desc("cell")))
-    cells = cells.withColumn("before", upto - F.col("cell_groups"))
+    part = F.conv(F.substring(F.md5(F.col(group)), 1, 8), 16, 10).cast("bigint") % PARTS
+    groups = groups.withColumn("part", part)
+    parts = groups.groupBy("cell", "part").agg(F.count(F.lit(1)).alias("n"))
+    cells = parts.groupBy("cell").agg(F.sum("n").alias("n"))  # a few thousand rows at most
+    upto = F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy(F.desc("cell")))
+    cells = cells.select("cell", (upto - F.col("n")).alias("before_cell"))
+    in_cell = F.sum("n").over(Window.partitionBy("cell").orderBy("part"))
+    offsets = parts.withColumn("before_part", in_cell - F.col("n")).join(cells, "cell")
+    offsets = offsets.select("cell", "part", (F.col("before_cell") + F.col("before_part")).alias("before"))
 
-    parts = F.ceil(F.col("cell_groups") / MOST_PER_WINDOW)
-    part = F.conv(F.substring(F.md5(F.col(group)), 1, 8), 16, 10).cast("bigint") % parts
     in_part = Window.partitionBy("cell", "part").orderBy(F.desc("size"), group)
     place = F.col("before") + F.row_number().over(in_part) - 1
     turn, seat = F.floor(F.col("place") / folds), F.col("place") % folds
-    return (
-        groups.join(cells, "cell")
-        .withColumn("part", part)
-        .withColumn("place", place)
-        .select(group, F.when(turn % 2 == 0, seat).otherwise(folds - 1 - seat).cast("int").alias("fold"))
-    )
+    placed = groups.join(offsets, ["cell", "part"]).withColumn("place", place)
+    return placed.select(group, F.when(turn % 2 == 0, seat).otherwise(folds - 1 - seat).cast("int").alias("fold"))
 
 
 def with_folds(df: DataFrame, group: str, label: str, classes: list[str], folds: int = 5) -> DataFrame:

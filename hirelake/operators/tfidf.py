@@ -1,21 +1,23 @@
 """TF-IDF in long form: (document, term, weight).
 
 tf is 1 + ln(count), idf is ln((1 + n) / (1 + df)) + 1, each document has unit
-length. Documents are spread by id once, while they are still texts; from there
-on counting terms per document and scaling to unit length need no shuffle.
+length. Terms are counted where the texts are read, so no text is shuffled; the
+counts are written once and read back for the vocabulary and for the weights.
 """
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hirelake.functions import text as T
+from hirelake.sources.stages import materialize
 
 
 def term_counts(docs: DataFrame, key: str, text: str, stop_words=(), ngrams: int = 2, pattern: str = T.TOKEN) -> DataFrame:
     """How often each term occurs in each document: key, term, tf."""
-    spread = docs.select(key, F.col(text).alias("_text")).repartition(key)
-    split = T.with_terms(spread, "_text", "_terms", stop_words, ngrams, pattern)
-    return split.select(key, F.explode("_terms").alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    split = T.with_terms(docs.select(key, F.col(text).alias("_text")), "_text", "_terms", stop_words, ngrams, pattern)
+    # An outer explode: an inner one would have the texts tokenised twice, for a filter on empty lists.
+    terms = split.select(key, F.explode_outer("_terms").alias("term")).where("term IS NOT NULL")
+    return terms.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def fit_vocabulary(
@@ -34,9 +36,8 @@ def fit_vocabulary(
 
 
 def weigh(counts: DataFrame, vocabulary: DataFrame, key: str, max_features: int = 20_000) -> DataFrame:
-    """key, term, tfidf. The vocabulary is broadcast: it has at most `max_features` rows."""
-    small = F.broadcast(vocabulary) if max_features <= 200_000 else vocabulary
-    weighed = counts.join(small, "term").withColumn("w", (1 + F.log("tf")) * F.col("idf"))
+    """key, term, tfidf. The vocabulary has at most `max_features` rows; Spark sends it whole if it is small."""
+    weighed = counts.join(vocabulary, "term").withColumn("w", (1 + F.log("tf")) * F.col("idf"))
     length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
     return weighed.select(key, "term", (F.col("w") / length).alias("tfidf"))
 
@@ -45,6 +46,6 @@ def tfidf(
     docs: DataFrame, key: str, text: str, stop_words=(), min_df: int = 5, max_df: float = 0.8,
     max_features: int = 20_000, ngrams: int = 2, pattern: str = T.TOKEN,
 ) -> DataFrame:
-    counts = term_counts(docs, key, text, stop_words, ngrams, pattern)
+    counts = materialize(term_counts(docs, key, text, stop_words, ngrams, pattern), "term-counts")
     vocabulary = fit_vocabulary(counts, docs.agg(F.count(F.lit(1))), min_df, max_df, max_features)
     return weigh(counts, vocabulary, key, max_features)

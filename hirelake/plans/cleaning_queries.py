@@ -112,10 +112,23 @@ def distinct_locations(spark, sf):
     return metro.distinct().orderBy("location", "city", "state").limit(10)
 
 
+GIVEN = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+
+
+def _inventory(spark, sf):
+    return files.file_inventory(spark, {n: f"{sf}/{n}.parquet" for n in GIVEN})
+
+
 @query("file_inventory")
 def file_inventory(spark, sf):
-    names = "region nation customer supplier part orders lineitem events documents embeddings pages labels".split()
-    return files.file_inventory(spark, {n: f"{sf}/{n}.parquet" for n in names})
+    """Files of all given tables. File names and sizes are no SQL values; `table_inventory` checks the rest."""
+    return _inventory(spark, sf)
+
+
+@query("table_inventory", " UNION ALL ".join(
+    f"SELECT '{n}' AS \"table\", (SELECT count(*) FROM {n}) AS rows, CAST((SELECT count(*) FROM (DESCRIBE {n})) AS INTEGER) AS columns" for n in GIVEN))
+def table_inventory(spark, sf):
+    return _inventory(spark, sf).groupBy("table").agg(F.sum("rows").alias("rows"), F.max("columns").alias("columns"))
 
 
 # ---------------------------------------------------------------- cleaning

@@ -209,7 +209,6 @@ def group_key(spark, sf):
     return stages.labelled(spark, sf).select("job_id", "group", "seniority")
 
 
-# A cell holds far fewer groups here than are ranked in one part, so the SQL ranks whole cells.
 sql.TABLES.update({
     "class_totals": """SELECT seniority, count(*) AS total, row_number() OVER (ORDER BY count(*),
         CASE seniority WHEN 'Entry' THEN 0 WHEN 'Mid' THEN 1 ELSE 2 END) AS rarity FROM labelled GROUP BY seniority""",
@@ -218,7 +217,8 @@ sql.TABLES.update({
         floor(log2(1 + count(*) FILTER (WHERE rarity = 3))) AS m3
         FROM labelled JOIN class_totals USING (seniority) GROUP BY "group" """,
     "group_folds": """SELECT "group", CAST(CASE WHEN (place // 5) % 2 = 0 THEN place % 5 ELSE 4 - place % 5 END AS INTEGER) AS fold
-        FROM (SELECT "group", row_number() OVER (ORDER BY m1 DESC, m2 DESC, m3 DESC, size DESC, "group") - 1 AS place FROM group_cells)""",
+        FROM (SELECT "group", row_number() OVER (ORDER BY m1 DESC, m2 DESC, m3 DESC,
+            CAST('0x' || substr(md5("group"), 1, 8) AS BIGINT) % 1024, size DESC, "group") - 1 AS place FROM group_cells)""",
     "folded": 'SELECT l.*, f.fold FROM labelled l JOIN group_folds f USING ("group")',
 })
 
