@@ -480,3 +480,22 @@ Embedded Systems: embedded
 Object-Oriented Programming: object oop
 Unity: unity unity3d
 """.strip()
+
+# Settings of the classifiers and the grids they are tuned over, and of the role clusters. Equal to those of the behaviour to be matched.
+CLASSIFIER_SETTINGS = {
+    "Logistic Regression": {"C": 3.0, "max_iter": 3000},
+    "Linear SVM": {"C": 0.3, "max_iter": 5000},
+    "Boosted Trees": {"max_depth": 6, "rounds": 200, "rate": 0.15},
+}
+CLASSIFIER_GRIDS = {
+    "Logistic Regression": {"C": [0.3, 1, 3, 10], "max_features": [10_000, 20_000]},
+    "Linear SVM": {"C": [0.03, 0.1, 0.3, 1], "max_features": [10_000, 20_000]},
+    "Boosted Trees": {"max_depth": [4, 6]},
+}
+MAX_TERMS = {"Logistic Regression": 20_000, "Linear SVM": 20_000, "Boosted Trees": 3_000}
+BOOSTED_SAMPLE, BOOSTED_COLUMNS = 0.8, "0.5"
+CV_FOLDS = 5
+ROLE_CLUSTERS, ROLE_RANGE, ROLE_STARTS, ROLE_DIMS = 10, (4, 15), 10, 100
+
+# A token of the term vectors.
+TOKEN_PATTERN = r"(?<![\w])[a-z][a-z0-9+#]*(?:\.[a-z]+)?"

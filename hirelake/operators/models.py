@@ -7,14 +7,14 @@ the training rows alone, again in every fold.
 
 import itertools
 import json
-import time
+import warnings
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, PipelineModel, Transformer
-from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, OneVsRest
+from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, OneVsRest, OneVsRestModel
 from pyspark.ml.feature import (
     CountVectorizerModel, ElementwiseProduct, NGram, Normalizer, RegexTokenizer, SQLTransformer, StopWordsRemover,
     VectorAssembler,
@@ -24,7 +24,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hirelake.functions import fixed, skills, text
@@ -175,7 +175,7 @@ class Candidate:
 TOLERANCE = 1e-4
 
 
-def _logistic(n: float, C: float, max_iter: int = 200) -> Estimator:
+def _logistic(n: float, C: float, max_iter: int) -> Estimator:
     # The same objective as a loss summed with factor C next to half the squared weights.
     return LogisticRegression(
         family="multinomial", regParam=1.0 / (C * n), elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=TOLERANCE,
@@ -183,24 +183,28 @@ def _logistic(n: float, C: float, max_iter: int = 200) -> Estimator:
     )
 
 
-def _svm(n: float, C: float, max_iter: int = 200) -> Estimator:
+def _svm(n: float, C: float, max_iter: int) -> Estimator:
     one = LinearSVC(regParam=1.0 / (C * n), standardization=False, maxIter=max_iter, tol=TOLERANCE, weightCol="weight")
     return OneVsRest(classifier=one, weightCol="weight", featuresCol="features", labelCol="label", parallelism=3)
 
 
-def _boosted(n: float, max_depth: int = 6, rounds: int = 200, rate: float = 0.15, seed: int = 42) -> Estimator:
+def _boosted(n: float, max_depth: int, rounds: int, rate: float, seed: int = 42) -> Estimator:
     one = GBTClassifier(
-        maxIter=rounds, stepSize=rate, maxDepth=max_depth, subsamplingRate=0.8, featureSubsetStrategy="0.5",
-        weightCol="weight", seed=seed,
+        maxIter=rounds, stepSize=rate, maxDepth=max_depth, subsamplingRate=fixed.BOOSTED_SAMPLE,
+        featureSubsetStrategy=fixed.BOOSTED_COLUMNS, weightCol="weight", seed=seed,
     )
     return OneVsRest(classifier=one, weightCol="weight", featuresCol="features", labelCol="label", parallelism=3)
 
 
-CANDIDATES = {
-    "Logistic Regression": Candidate(_logistic, {"C": 3.0}, {"C": [0.3, 1, 3, 10], "max_features": [10_000, 20_000]}),
-    "Linear SVM": Candidate(_svm, {"C": 0.3}, {"C": [0.03, 0.1, 0.3, 1], "max_features": [10_000, 20_000]}),
-    "Boosted Trees": Candidate(_boosted, {"max_depth": 6}, {"max_depth": [4, 6]}, max_features=3_000),
-}
+_MAKERS = {"Logistic Regression": _logistic, "Linear SVM": _svm, "Boosted Trees": _boosted}
+CANDIDATES = {n: Candidate(make, fixed.CLASSIFIER_SETTINGS[n], fixed.CLASSIFIER_GRIDS[n], fixed.MAX_TERMS[n]) for n, make in _MAKERS.items()}
+
+
+def reached_limit(model, limit: int | None) -> bool:
+    """Whether an optimiser stopped at its limit of passes before it converged."""
+    parts = model.models if isinstance(model, OneVsRestModel) else [model]
+    summaries = [p.summary() if callable(getattr(p, "summary", None)) else getattr(p, "summary", None) for p in parts]
+    return limit is not None and any(getattr(s, "totalIterations", 0) >= limit for s in summaries if s is not None)
 
 
 def label_index(label: str, classes: list[str]) -> Column:
@@ -287,6 +291,8 @@ def fit(
     weighted = features.with_balanced_weight(train, label, classes).withColumn("label", label_index(label, classes))
     vectors = materialize(prepared.model.transform(weighted).select("label", "weight", "features"), "train")
     model = candidate.make(float(vectors.count()), **params).fit(spread(vectors))
+    if reached_limit(model, params.get("max_iter")):
+        warnings.warn(f"{name} stopped after {params['max_iter']} passes without having converged", stacklevel=2)
     return SeniorityModel(prepared.model, model, classes, prepared.names, include_title, key)
 
 
@@ -301,7 +307,7 @@ def macro_f1_and_balanced(predictions: DataFrame, classes: list[str]) -> tuple[f
 
 def cross_validate(
     train: DataFrame, name: str, params: dict | None = None, label: str = "seniority", classes: list[str] = fixed.CLASSES,
-    fold: str = "cv_fold", n_folds: int = 5, parallelism: int = 1, **fit_args,
+    fold: str = "cv_fold", n_folds: int = fixed.CV_FOLDS, parallelism: int = 1, **fit_args,
 ) -> list[tuple[float, float]]:
     """(macro F1, balanced accuracy) of each fold; everything is fitted again per fold.
 
@@ -317,31 +323,52 @@ def cross_validate(
         return list(pool.map(inheritable_thread_target(train.sparkSession)(one), range(n_folds)))
 
 
-def compare_models(train: DataFrame, settings: dict[str, dict] | None = None, **cv_args) -> list[dict]:
-    """Mean and spread of the cross-validated macro F1 per classifier, best first."""
+SCORES = "model string, params string, fold int, metric string, value double"
+
+
+def fold_scores(train: DataFrame, tries: list[tuple[str, dict]], **cv_args) -> DataFrame:
+    """model, params, fold, metric, value: the cross-validated scores of several classifiers or settings."""
     rows = []
-    for name, params in (settings or {n: {} for n in CANDIDATES}).items():
-        started = time.time()
-        scores = np.array(cross_validate(train, name, params, **cv_args))
-        rows.append({
-            "model": name, "cv_macro_f1_mean": float(scores[:, 0].mean()), "cv_macro_f1_std": float(scores[:, 0].std()),
-            "cv_balanced_acc_mean": float(scores[:, 1].mean()), "seconds": time.time() - started,
-        })
-    return sorted(rows, key=lambda r: -r["cv_macro_f1_mean"])
-
-
-def grid_search(train: DataFrame, name: str, grid: dict[str, list] | None = None, fixed_params: dict | None = None, **cv_args) -> list[dict]:
-    """Mean and spread of macro F1 for every combination of a grid, best first."""
+    for name, params in tries:
+        for fold, (f1, accuracy) in enumerate(cross_validate(train, name, params, **cv_args)):
+            told = (name, json.dumps(params, sort_keys=True), fold)
+            rows += [(*told, "macro_f1", f1), (*told, "balanced_accuracy", accuracy)]
+    return train.sparkSession.createDataFrame(rows, SCORES)
+
+
+def ranked(scores: DataFrame) -> DataFrame:
+    """model, params, place, and mean and spread over the folds of each metric; the highest mean macro F1 has place 1."""
+
+    def of(metric):
+        return F.when(F.col("metric") == metric, F.col("value"))
+
+    summed = scores.groupBy("model", "params").agg(
+        F.avg(of("macro_f1")).alias("macro_f1"), F.stddev_pop(of("macro_f1")).alias("macro_f1_spread"),
+        F.avg(of("balanced_accuracy")).alias("balanced_accuracy"), F.count(of("macro_f1")).alias("folds"),
+    )
+    order = Window.partitionBy(F.lit(0)).orderBy(F.desc("macro_f1"), "model", "params")  # one row a try
+    return summed.withColumn("place", F.row_number().over(order))
+
+
+def compare_models(train: DataFrame, settings: dict[str, dict] | None = None, **cv_args) -> DataFrame:
+    """`ranked` scores of each classifier with its own settings, changed by `settings[name]`; only those named, if any are."""
+    return ranked(fold_scores(train, list((settings or {n: {} for n in CANDIDATES}).items()), **cv_args))
+
+
+def grid_search(train: DataFrame, name: str, grid: dict[str, list] | None = None, fixed_params: dict | None = None, **cv_args) -> DataFrame:
+    """`ranked` scores of every combination of a grid."""
     grid = grid or CANDIDATES[name].grid
-    rows = []
-    for values in itertools.product(*grid.values()):
-        params = dict(zip(grid, values))
-        scores = [s[0] for s in cross_validate(train, name, {**(fixed_params or {}), **params}, **cv_args)]
-        rows.append({"model": name, "params": params, "mean": float(np.mean(scores)), "std": float(np.std(scores))})
-    return sorted(rows, key=lambda r: -r["mean"])
+    tries = [(name, {**(fixed_params or {}), **dict(zip(grid, values))}) for values in itertools.product(*grid.values())]
+    return ranked(fold_scores(train, tries, **cv_args))
+
+
+def best_params(tried: DataFrame) -> tuple[str, dict]:
+    """Classifier and settings of place 1."""
+    first = tried.where("place = 1").first()
+    return first["model"], json.loads(first["params"])
 
 
-def with_cv_folds(train: DataFrame, label: str = "seniority", classes: list[str] = fixed.CLASSES, n_folds: int = 5) -> DataFrame:
+def with_cv_folds(train: DataFrame, label: str = "seniority", classes: list[str] = fixed.CLASSES, n_folds: int = fixed.CV_FOLDS) -> DataFrame:
     """Folds of the training rows alone, in `cv_fold`."""
     assigned = folds.assign_group_folds(train, "group", label, classes, n_folds).withColumnRenamed("fold", "cv_fold")
     return train.join(assigned, "group")

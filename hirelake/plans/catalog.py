@@ -8,6 +8,7 @@ from hirelake.operators import cleaning, marts
 from hirelake.plans import (  # noqa: F401
     cleaning_queries,
     evaluation_queries,
+    fact_queries,
     feature_queries,
     mart_queries,
     model_queries,

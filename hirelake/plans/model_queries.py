@@ -1,7 +1,7 @@
 """Queries that fit models, and the round trips of stored tables and models.
 
-They run the library's own functions with few iterations and small dimensions;
-the full settings are the functions' defaults.
+Linear models and role clusters run with the full settings of `fixed`. Boosted trees are the exception: each round of
+each class is a chain of jobs here, so queries run BOOSTED, fewer and smaller trees; the function's defaults are the full ones.
 """
 
 import uuid
@@ -19,14 +19,8 @@ from hirelake.sources import files
 from hirelake.streaming import scoring as stream_scoring
 
 CLASSES = fixed.CLASSES
-TERMS = {"max_features": 1000}
-QUICK = {
-    "Logistic Regression": {**TERMS, "max_iter": 20},
-    "Linear SVM": {**TERMS, "max_iter": 10},
-    "Boosted Trees": {"max_features": 200, "max_depth": 3, "rounds": 4},
-}
-CV_FOLDS = stages.CV_FOLDS
-ROLE_SETTINGS = {"k": 10, "dims": 20, "max_features": 2000, "inits": 2, "passes": 3}
+BOOSTED = {"max_features": 200, "max_depth": 3, "rounds": 4}
+SETTINGS = {"Logistic Regression": {}, "Linear SVM": {}, "Boosted Trees": BOOSTED}
 _FITTED: dict[tuple, object] = {}
 
 
@@ -59,7 +53,7 @@ def _test(spark, sf, variant: str = "with_title"):
 def fitted(spark, sf, name: str, variant: str = "with_title") -> models.SeniorityModel:
     return _once(
         spark, sf, (name, variant),
-        lambda: models.fit(_train(spark, sf, variant), name, QUICK[name], include_title=variant == "with_title"),
+        lambda: models.fit(_train(spark, sf, variant), name, SETTINGS[name], include_title=variant == "with_title"),
     )
 
 
@@ -67,7 +61,7 @@ def roles(spark, sf) -> clustering.RoleModel:
     return _once(
         spark, sf, "roles",
         lambda: clustering.fit_roles(
-            stages.cluster_texts(spark, sf), stop_words=CLUSTER_STOP, signatures=fixed.ROLE_SIGNATURES, **ROLE_SETTINGS
+            stages.cluster_texts(spark, sf), stop_words=CLUSTER_STOP, signatures=fixed.ROLE_SIGNATURES
         ),
     )
 
@@ -79,7 +73,7 @@ def _predicted(spark, sf, name):
 
 @query("feature_vector")
 def feature_vector(spark, sf):
-    prepared = models.fit_preprocessor(_train(spark, sf), max_features=TERMS["max_features"])
+    prepared = models.fit_preprocessor(_train(spark, sf), max_features=fixed.MAX_TERMS["Logistic Regression"])
     vectors = prepared.model.transform(_test(spark, sf))
     v = F.unwrap_udt("features")
     return vectors.select("job_id", F.size(v["values"]).alias("values"), v["size"].alias("size"))
@@ -107,22 +101,20 @@ def predictions(spark, sf):
     return out.withColumnRenamed("seniority", "actual").withColumn("variant", F.lit("with_title"))
 
 
+def compared(spark, sf):
+    return _once(spark, sf, "compared", lambda: models.compare_models(_train(spark, sf), SETTINGS, parallelism=fixed.CV_FOLDS))
+
+
 @query("cv_compare")
 def cv_compare(spark, sf):
-    train = _train(spark, sf)
-    settings = {"Logistic Regression": QUICK["Logistic Regression"], "Linear SVM": QUICK["Linear SVM"]}
-    rows = models.compare_models(train, settings, n_folds=CV_FOLDS, parallelism=CV_FOLDS)
-    return spark.createDataFrame(rows).select("model", "cv_macro_f1_mean", "cv_macro_f1_std", "cv_balanced_acc_mean", "seconds")
+    return compared(spark, sf)
 
 
 @query("grid_search")
 def grid_search(spark, sf):
-    grid = {"C": [0.3, 3.0]}
-    rows = models.grid_search(
-        _train(spark, sf), "Logistic Regression", grid, QUICK["Logistic Regression"], n_folds=CV_FOLDS, parallelism=CV_FOLDS
-    )
-    flat = [(r["model"], str(r["params"]), r["mean"], r["std"]) for r in rows]
-    return spark.createDataFrame(flat, "model string, params string, mean double, std double")
+    """The regularisation of the logistic model, over all terms."""
+    grid = {"C": fixed.CLASSIFIER_GRIDS["Logistic Regression"]["C"]}
+    return models.grid_search(_train(spark, sf), "Logistic Regression", grid, parallelism=fixed.CV_FOLDS)
 
 
 def _variant_scores(spark, sf):
@@ -168,7 +160,7 @@ def k_scan(spark, sf):
     from hirelake.sources.stages import materialize
 
     vectors = materialize(roles(spark, sf).vectors(stages.cluster_texts(spark, sf)).select("z"), "k-scan")
-    return spark.createDataFrame(clustering.scan_k(vectors, range(4, 8), inits=1), "k int, inertia double, silhouette double")
+    return spark.createDataFrame(clustering.scan_k(vectors, range(fixed.ROLE_RANGE[0], fixed.ROLE_RANGE[1] + 1)), "k int, inertia double, silhouette double")
 
 
 # ---------------------------------------------------------------- scoring

@@ -114,15 +114,12 @@ def role_names(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "cluster int, name string, signature string")
 
 
-CV_FOLDS = 3
-
-
 def training(spark: SparkSession, sf: str) -> DataFrame:
     """Labelled feature rows with group, fold, and for training rows their fold among themselves."""
 
     def build() -> DataFrame:
         rows = STORE.get(spark, sf, "folded", lambda: folded(spark, sf).select("job_id", "seniority", "group", "fold"))
-        inner = assign_group_folds(rows.where("fold <> 0"), "group", "seniority", fixed.CLASSES, CV_FOLDS)
+        inner = assign_group_folds(rows.where("fold <> 0"), "group", "seniority", fixed.CLASSES, fixed.CV_FOLDS)
         marked = rows.join(inner.withColumnRenamed("fold", "cv_fold"), "group", "left")
         return features(spark, sf).join(marked, "job_id")
 
