@@ -23,7 +23,7 @@ from hirelake.llm import common
 from hirelake.llm.components import components
 
 #: Bits of a whole sketch for each shingle, at least, and of any sketch at least; rounded up to a power of two.
-BITS_PER_SHINGLE, LEAST_BITS = 4, 256
+BITS_PER_SHINGLE, LEAST_BITS = 1, 256
 #: Keys a task gathers before it links those that are alike among them and hands them on.
 GATHERED = 1_000_000
 #: Width of a size cell: its largest size over its smallest.
@@ -31,7 +31,9 @@ CELL_RATIO = 1.6
 #: Parts more than are needed, so that empty parts, which many documents share, need not be joined on.
 SPARE_PARTS = 1
 SPARE_FROM = 8
-#: Members of a group that are compared in one task; larger groups are compared block by block.
+#: Members of a group all of whose pairs are made at once.
+FEW_MEMBERS = 8
+#: Members of a larger group that are compared in one task; larger groups are compared block by block.
 COMPARED_TOGETHER = 2_048
 #: Pairs of two components that are compared exactly in the first round, nearest sketches first; each round as many times more.
 TRIED_TOGETHER = 8
@@ -227,13 +229,21 @@ def _halved(a: str, b: str):
     return F.when(F.size(a) > F.size(b), halves).otherwise(F.col(a))
 
 
-def _near(a: str, b: str, like: Likeness):
-    """Whether sizes and sketches of two sets leave it open that they are linked."""
+def _near_sizes(a: str, b: str, like: Likeness):
+    """Whether the sizes of two sets leave it open that they are linked."""
     x, y = F.col(f"{a}_n"), F.col(f"{b}_n")
-    differing = F.zip_with(_halved(f"{a}_sketch", f"{b}_sketch"), _halved(f"{b}_sketch", f"{a}_sketch"), lambda u, v: F.bit_count(u.bitwiseXOR(v)))
-    apart = F.aggregate(differing, F.lit(0), lambda sum_, u: sum_ + u)
-    sizes = F.least(x, y) * like.of >= F.greatest(x, y) * like.least
-    return sizes & (apart * (like.of + like.least) <= (x + y) * (like.of - like.least))
+    return F.least(x, y) * like.of >= F.greatest(x, y) * like.least
+
+
+def _apart(a: str, b: str):
+    """Bits in which two sketches differ."""
+    x, y = f"{a}_sketch", f"{b}_sketch"
+    differing = F.zip_with(_halved(x, y), _halved(y, x), lambda u, v: F.bit_count(u.bitwiseXOR(v)))
+    return F.aggregate(differing, F.lit(0).cast("bigint"), lambda sum_, u: sum_ + u)
+
+
+def _near_apart(a: str, b: str, like: Likeness):
+    return F.col("apart") * (like.of + like.least) <= (F.col(f"{a}_n") + F.col(f"{b}_n")) * (like.of - like.least)
 
 
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, like: Likeness) -> DataFrame:
@@ -266,18 +276,18 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, like: Likene
     return met.select(F.col("hub").alias("u"), F.col("own").alias("v")).distinct()
 
 
-def _across(groups: DataFrame, like: Likeness) -> DataFrame:
+def _across(groups: DataFrame, classes: DataFrame, like: Likeness) -> DataFrame:
     """a, b, apart: pairs of classes of a key but of different components whose sketches leave a link open; the bits they differ in.
 
     Large groups are cut into blocks; each pair of blocks is compared in one task.
     """
-    sizes = groups.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
-    blocked = groups.join(sizes, "key").withColumn("blocks", F.expr(f"cast(ceil(members / {COMPARED_TOGETHER}) as int)"))
+    blocked = groups.withColumn("blocks", F.expr(f"cast(ceil(members / {COMPARED_TOGETHER}) as int)"))
     blocked = blocked.withColumn("block", F.expr("cast(pmod(xxhash64(cls), blocks) as int)"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     cells = blocked.withColumn("other", other).select(
-        "key", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "block", "cls", "component", "n", "sketch"
+        "key", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "block", "cls", "component"
     )
+    cells = cells.join(classes.select("cls", "n", "sketch"), "cls")
 
     def compare(rows: dict, out: list) -> None:
         cls, component, n, block, sketch = rows["cls"], rows["component"], rows["n"], rows["block"], rows["sketch"]
@@ -326,13 +336,11 @@ def _across(groups: DataFrame, like: Likeness) -> DataFrame:
     return dealt.mapInArrow(run, "a bigint, b bigint, apart bigint").groupBy("a", "b").agg(F.max("apart").alias("apart"))
 
 
-def _groups(shared: DataFrame) -> DataFrame:
-    """key, cls: the groups of classes that meet. Keys of the same classes are one group."""
-    members = shared.select("key", "cls").distinct()
-    marks = [F.bit_xor(F.xxhash64("cls", F.lit(i))).alias(f"mark{i}") for i in range(2)]
-    alike = members.groupBy("key").agg(F.count(F.lit(1)).alias("members"), *marks)
-    keys = alike.groupBy("members", "mark0", "mark1").agg(F.min("key").alias("key")).select("key")
-    return members.join(keys, "key")
+def _small_pairs(shared: DataFrame) -> DataFrame:
+    """a, b: all pairs of the classes of each key, for keys of few."""
+    lists = shared.groupBy("key").agg(F.array_sort(F.collect_set("cls")).alias("own"))
+    pairs = F.flatten(F.transform("own", lambda a: F.transform(F.filter("own", lambda b: b > a), lambda b: F.struct(a.alias("a"), b.alias("b")))))
+    return lists.select(F.explode(pairs).alias("pair")).select("pair.*")
 
 
 def _members(rows: DataFrame, found: DataFrame, node: str, name: str = "component") -> DataFrame:
@@ -357,18 +365,25 @@ def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     largest = classes.agg(F.max("n")).first()[0] or 0
 
     shared = common.stored(shared_keys(docs, like, largest), "shared")
-    pairs = shared.where("cls <> hub").select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
+    sizes = shared.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
+    sized = shared.join(sizes, "key")
+    few = F.col("members") <= FEW_MEMBERS
+    to_hub = sized.where(~few & (F.col("cls") != F.col("hub"))).select(F.least("hub", "cls").alias("a"), F.greatest("hub", "cls").alias("b"))
+    pairs = _small_pairs(sized.where(few)).unionByName(to_hub).distinct()
     for side in ("a", "b"):
         pairs = pairs.join(classes.select(F.col("cls").alias(side), F.col("n").alias(f"{side}_n"), F.col("sketch").alias(f"{side}_sketch")), side)
-    pairs = pairs.where(_near("a", "b", like)).groupBy("b").agg(F.min("a").alias("a"))  # one to compare with for each class
-    tried = common.stored(pairs.select("a", "b"), "pairs")
+    near = pairs.where(_near_sizes("a", "b", like)).withColumn("apart", _apart("a", "b")).where(_near_apart("a", "b", like))
+    near = common.stored(near.select("a", "b", "apart"), "near-pairs")
+
+    tried = common.stored(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs")  # one to compare with for each class
     links = common.stored(verified(tried, docs, classes, like), "links")
     found = common.stored(components(links), "components")
 
-    groups = _members(common.stored(_groups(shared), "groups"), found, "cls")
-    mixed = groups.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    groups = groups.join(mixed, "key").join(classes.select("cls", "n", "sketch"), "cls")
-    open_ = common.stored(_across(groups, like), "open-pairs")
+    large = _members(sized.where(~few).select("key", "cls", "members").distinct(), found, "cls")
+    mixed = large.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
+    across = _across(large.join(mixed, "key"), classes, like)
+    open_ = near.unionByName(across).groupBy("a", "b").agg(F.max("apart").alias("apart"))
+    open_ = common.stored(open_, "open-pairs")
     most = TRIED_TOGETHER
     while True:
         left = open_.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
