@@ -8,6 +8,7 @@ levels are dealt out from short lists by arithmetic on the row's own columns.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hirelake.functions.skills import SKILL_NAMES
 from hirelake.functions import text
 from hirelake.session import spread
 
@@ -26,20 +27,22 @@ LOCATIONS = [
     "Nowhere, United States", "Dallas-Fort Worth Metroplex", "Dallas, TX", "Fort Worth, TX",
     "Toronto, Ontario, Canada", "Utah Area", "Springfield, IL", "Springfield, MA",
 ]
-SENTENCES = [
-    "3+ years of experience with Python and SQL.",
-    "Build <b>APIs</b> in Java &amp; C++. 5-7 years of experience.",
-    "Hybrid schedule. AWS, Docker and Kubernetes.",
-    "Hybrid cloud platform. Azure and Terraform.",
-    "Mentor interns. See https://example.com/jobs?id=1 now.",
+OPENINGS = [
+    "4+ years of experience writing Python and SQL.",
+    "You ship <b>services</b> in Java &amp; C++. 6-8 years of experience.",
+    "Hybrid week. AWS, Docker and Kubernetes.",
+    "Hybrid cloud rollout. Azure and Terraform.",
+    "Coach and mentor our intern group. Read https://example.com/open?role=7 first.",
     "JavaScript, TypeScript, Node.js and Angular.",
-    "Lead architect. 10 years of experience required.",
+    "Lead our architect circle. 9 years of experience expected.",
     "Windows Server, Active Directory, ServiceNow.",
-    "Machine learning with PyTorch and TensorFlow.",
-    "our 25 years of experience in the industry",
-    "Agile, Scrum and Jira.",
-    "Principal analyst. Tableau and Power BI.",
+    "Machine learning in PyTorch and TensorFlow.",
+    "backed by 30 years of experience in this trade",
+    "Agile planning, Scrum and Jira.",
+    "Principal analyst seat. Tableau and Power BI.",
 ]
+# Every dictionary entry is named in one of the sentences.
+SENTENCES = [f"{opening} Useful: {', '.join(SKILL_NAMES[i :: len(OPENINGS)])}." for i, opening in enumerate(OPENINGS)]
 EMPLOYMENT = {"F": "Full-time", "O": "Contract", "P": "Part-time"}
 PERIODS = {"1": ("YEARLY", 1), "2": ("HOURLY", 2080), "3": ("MONTHLY", 12), "5": ("biweekly", 26)}
 DAY_MS = 86_400_000

@@ -5,18 +5,18 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from hirelake.functions import fixed
-from hirelake.operators import clustering, features, lsa, models, recommend, scoring, tfidf
+from hirelake.operators import clustering, features, lsa, models, recommend, scoring, tfidf, training
 from hirelake.sources import files
 from hirelake.sources.stages import materialize
 from hirelake.streaming import scoring as stream_scoring
 
 POSTINGS = [
-    ("Senior Python Engineer", "Lead and mentor a team. 7+ years of experience with Python and AWS cloud platforms for clients.", "Senior"),
-    ("Junior Web Developer", "Entry level role. 1 year of experience with JavaScript and React and helpful friendly people.", "Entry"),
-    ("Data Engineer", "Build pipelines with Spark, SQL and Airflow. 4 years of experience in data warehousing and modelling.", "Mid"),
-    ("Intern", "Summer internship for students learning SQL and Excel, with training and mentoring by experienced people.", "Entry"),
-    ("Director of Data", "Set the strategy for machine learning and lead several groups. 12 years of experience required at least.", "Senior"),
-    ("Network Engineer", "Maintain Cisco networks, firewalls and VMware hosts. 5 years of experience with routing and switching.", "Mid"),
+    ("Senior Platform Developer", "You lead our backend group and mentor newcomers. At least 8 years of experience running Python services on AWS infrastructure.", "Senior"),
+    ("Junior Frontend Developer", "A first job after school. 1 year of experience writing JavaScript and React pages with patient teammates around you.", "Entry"),
+    ("Analytics Engineer", "Keep nightly Spark and SQL jobs healthy with Airflow. 4 years of experience shaping warehouse tables and reports.", "Mid"),
+    ("Intern", "A paid internship over the summer where students try SQL and Excel on small tasks with daily help.", "Entry"),
+    ("Director of Analytics", "You lead three departments and own the roadmap for machine learning. 11 years of experience or more is expected.", "Senior"),
+    ("Network Engineer", "Look after Cisco switches, firewalls and VMware hosts in two sites. 5 years of experience with routing problems.", "Mid"),
 ]
 
 
@@ -81,10 +81,45 @@ def test_classifiers_learn_and_balance(spark, rows, seniority):
 def test_cross_validation_and_grid(rows):
     train = materialize(models.with_cv_folds(rows, n_folds=2), "cv")
     quick = {"max_features": 100, "max_iter": 5}
-    ranked = models.grid_search(train, "Logistic Regression", {"C": [0.001, 3.0]}, quick, n_folds=2, parallelism=2, min_df=2)
-    assert [r["mean"] for r in ranked] == sorted((r["mean"] for r in ranked), reverse=True) and len(ranked) == 2
-    compared = models.compare_models(train, {"Logistic Regression": quick}, n_folds=2, parallelism=2, min_df=2)
-    assert compared[0]["cv_macro_f1_mean"] > 0.5
+    tried = models.grid_search(train, "Logistic Regression", {"C": [0.001, 3.0]}, quick, n_folds=2, parallelism=2, min_df=2).collect()
+    means = {r["place"]: r["macro_f1"] for r in tried}
+    assert len(tried) == 2 and means[1] >= means[2] and all(r["folds"] == 2 for r in tried)
+    scores = models.fold_scores(train, [("Logistic Regression", quick)], n_folds=2, parallelism=2, min_df=2)
+    of_folds = [r["value"] for r in scores.where("metric = 'macro_f1'").collect()]
+    compared = models.ranked(scores).first()
+    assert compared["macro_f1"] == pytest.approx(np.mean(of_folds)) and compared["macro_f1_spread"] == pytest.approx(np.std(of_folds))
+    assert compared["macro_f1"] > 0.5 and models.best_params(models.ranked(scores)) == ("Logistic Regression", quick)
+
+
+def test_limit_of_passes_is_told(rows):
+    with pytest.warns(UserWarning, match="without having converged"):
+        models.fit(rows, "Logistic Regression", {"max_features": 100, "max_iter": 1}, min_df=2)
+
+
+def test_whole_training_run(spark, postings, tmp_path):
+    made = features.build_features(postings, description="description").join(postings.select("job_id", "seniority", "group"), "job_id")
+    company = F.substring("group", 9, 2).cast("int")
+    marked = materialize(made.withColumn("fold", F.when(company < 4, 0).otherwise(1)).withColumn("cv_fold", company % 2), "run", ("variant",))
+    variants = {v: marked.where(F.col("variant") == v).drop("variant") for v in features.VARIANTS}
+    quick = {"max_features": 100, "max_iter": 20}
+    run = training.train(variants, {"Logistic Regression": quick}, {"C": [0.001, 3.0]}, n_folds=2, min_df=2)
+    assert run.name == "Logistic Regression" and set(run.fitted) == set(features.VARIANTS)
+    assert run.params["C"] == models.best_params(run.tuned)[1]["C"]
+    run.store(str(tmp_path / "run"))
+    stored = spark.read.parquet(str(tmp_path / "run" / "predictions"))
+    tested = variants["with_title"].where("fold = 0").count()
+    assert {r["variant"]: r["count"] for r in stored.groupBy("variant").count().collect()} == dict.fromkeys(features.VARIANTS, tested)
+    sections = {r["section"] for r in spark.read.parquet(str(tmp_path / "run" / "metrics")).select("section").distinct().collect()}
+    assert sections == {"split", "baseline", "comparison", "tuning", "test"}
+    other = spark.createDataFrame([("clusters", "all", "k", "", 10.0)], training.METRICS)
+    training.store_metrics(other, str(tmp_path / "run" / "metrics"))
+    merged = training.metrics_document(spark.read.parquet(str(tmp_path / "run" / "metrics")))
+    assert {r["section"] for r in merged.collect()} == sections | {"clusters"}
+    loaded = models.SeniorityModel.load(str(tmp_path / "run" / "model" / "without_title"))
+    assert loaded.include_title is False
+    mixed = {v: df.withColumn("fold", F.lit(1) * (F.col("job_id") % 2)) for v, df in variants.items()}
+    with pytest.raises(ValueError):
+        training.train(mixed, {"Logistic Regression": quick}, n_folds=2, min_df=2)
 
 
 def test_feature_push_names_telling_terms(rows, seniority):
@@ -154,8 +189,8 @@ def related_of(postings, roles):
 
 def test_scoring_gates_and_fields(spark, postings, seniority, roles):
     asked = spark.createDataFrame(
-        [(1, "Engineer", ""), (2, "Engineer", "   "), (3, "Engineer", "Python developer needed"), (4, None, None),
-         (5, "Network Engineer", POSTINGS[5][1] + " We also like Cisco certificates.")],
+        [(1, "Engineer", ""), (2, "Engineer", "   "), (3, "Engineer", "Writes Python for us"), (4, None, None),
+         (5, "Network Engineer", POSTINGS[5][1] + " A Cisco exam is welcome.")],
         "job_id long, title string, description string",
     )
     out = {r.job_id: r for r in scoring.score(asked, seniority, roles, related_of(postings, roles)).collect()}
