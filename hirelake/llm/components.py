@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 from hirelake.llm import common
 
 
-def _mark(edges: DataFrame):
-    row = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
-    return tuple(row)
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node hangs on one other, and none of those on another: then those are the smallest of their components."""
+    twice = edges.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("u")
+    inner = edges.select(F.col("v").alias("u")).join(edges.select("u"), "u", "left_semi")
+    return twice.unionByName(inner).isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -20,12 +22,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     ordered = links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     edges = common.stored(ordered, "edges")
-    mark = None
-    while True:
-        now = _mark(edges)
-        if now == mark or not now[0]:
-            break
-        mark = now
+    while not _settled(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()

@@ -6,7 +6,7 @@ part more than that, some part is the same in both. So documents meet by equalit
 is to be linked meets. Sizes are covered by overlapping cells, since similar sets have similar sizes.
 
 Documents of equal sets are one class and go through once. In a group of classes that meet, each meets the smallest only, within tasks first,
-and is compared with one class, so the work grows with the group, not with its square. Classes that end up connected need no more
+and is compared with the smallest, so the work grows with the group, not with its square. Classes that end up connected need no more
 comparing. In the groups that still hold several components, whole sketches (some bits for each shingle) are compared across components, and pairs that these
 do not rule out are compared exactly, nearest first, until every such pair is compared or connected. No pair is left out.
 """
@@ -25,7 +25,7 @@ from hirelake.llm.components import components
 #: Bits of a whole sketch for each shingle, at least, and of any sketch at least; rounded up to a power of two.
 BITS_PER_SHINGLE, LEAST_BITS = 1, 256
 #: Keys a task gathers before it links those that are alike among them and hands them on.
-GATHERED = 1_000_000
+GATHERED = 500_000
 #: Width of a size cell: its largest size over its smallest.
 CELL_RATIO = 1.6
 #: Parts more than are needed, so that empty parts, which many documents share, need not be joined on.
@@ -35,7 +35,7 @@ SPARE_FROM = 8
 FEW_MEMBERS = 8
 #: Members of a larger group that are compared in one task; larger groups are compared block by block.
 COMPARED_TOGETHER = 2_048
-#: Pairs of two components that are compared exactly in the first round, nearest sketches first; each round as many times more.
+#: Pairs of two components that are compared exactly in the first round, nearest sketches first; each further round as many times more.
 TRIED_TOGETHER = 8
 #: Rows that are sent to every executor at most, else joined by a shuffle.
 SENT_WHOLE = 200_000
@@ -276,9 +276,10 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, like: Likene
     return met.select(F.col("hub").alias("u"), F.col("own").alias("v")).distinct()
 
 
-def _across(groups: DataFrame, classes: DataFrame, like: Likeness) -> DataFrame:
-    """a, b, apart: pairs of classes of a key but of different components whose sketches leave a link open; the bits they differ in.
+def _across(groups: DataFrame, classes: DataFrame, like: Likeness, most: int) -> DataFrame:
+    """a, b, apart, more: pairs of classes of a group but of different components whose sketches leave a link open.
 
+    Of two components the `most` pairs that differ in the fewest bits are given, block by block; `more` says that there are others.
     Large groups are cut into blocks; each pair of blocks is compared in one task.
     """
     blocked = groups.withColumn("blocks", F.expr(f"cast(ceil(members / {COMPARED_TOGETHER}) as int)"))
@@ -294,13 +295,29 @@ def _across(groups: DataFrame, classes: DataFrame, like: Likeness) -> DataFrame:
         shortest = min(len(x) for x in sketch)
         folded = np.stack([np.bitwise_xor.reduce(x.reshape(-1, shortest), axis=0) for x in sketch])
         a_rows, b_rows = np.flatnonzero(block == rows["left"][0]), np.flatnonzero(block == rows["right"][0])
+        found = []
         for i in a_rows:
             j = b_rows[(component[b_rows] != component[i]) & ((cls[b_rows] > cls[i]) | (rows["left"][0] != rows["right"][0]))]
             j = j[np.minimum(n[j], n[i]) * like.of >= np.maximum(n[j], n[i]) * like.least]
             apart = np.bitwise_count(folded[j] ^ folded[i]).sum(axis=1, dtype=np.int64)
             open_ = apart * (like.of + like.least) <= (n[j] + n[i]) * (like.of - like.least)
-            j = j[open_]
-            out.append((np.minimum(cls[j], cls[i]), np.maximum(cls[j], cls[i]), apart[open_]))
+            if open_.any():
+                found.append(nearest(np.full(open_.sum(), i), j[open_], apart[open_], np.zeros(open_.sum(), bool), component))
+        if found:
+            i, j, apart, more = nearest(*(np.concatenate(c) for c in zip(*found)), component)
+            out.append((np.minimum(cls[j], cls[i]), np.maximum(cls[j], cls[i]), apart, more))
+
+    def nearest(i, j, apart, more, component):
+        """Of each pair of components the `most` pairs that differ least; `more` marks those of which some were left out."""
+        low, high = np.minimum(component[i], component[j]), np.maximum(component[i], component[j])
+        order = np.lexsort((apart, high, low))
+        low, high = low[order], high[order]
+        first = np.flatnonzero(np.concatenate([[True], (low[1:] != low[:-1]) | (high[1:] != high[:-1])]))
+        size = np.diff(np.append(first, len(low)))
+        place = np.arange(len(low)) - np.repeat(first, size)
+        more = np.repeat((size > most) | np.logical_or.reduceat(more[order], first), size)
+        some = place < most
+        return i[order][some], j[order][some], apart[order][some], more[some]
 
     names = ["key", "left", "right", "block", "cls", "component", "n"]
 
@@ -329,11 +346,20 @@ def _across(groups: DataFrame, classes: DataFrame, like: Likeness) -> DataFrame:
             sketch = [words[at[k] : at[k + 1]] for k in range(a, b)]
             compare({**{c: columns[c][a:b] for c in names}, "sketch": sketch}, out)
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*out)], ["a", "b", "apart"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["a", "b", "apart", "more"])
 
     dealt = cells.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right")
     # The same pair may meet in several groups, folded to different sizes: the widest comparison counts.
-    return dealt.mapInArrow(run, "a bigint, b bigint, apart bigint").groupBy("a", "b").agg(F.max("apart").alias("apart"))
+    met = dealt.mapInArrow(run, "a bigint, b bigint, apart bigint, more boolean")
+    return met.groupBy("a", "b").agg(F.max("apart").alias("apart"), F.max("more").alias("more"))
+
+
+def _one_of_each(groups: DataFrame) -> DataFrame:
+    """`groups` (key, cls, component, members) without those whose classes are those of another, and without those of one component."""
+    marks = [F.bit_xor(F.xxhash64("cls", F.lit(i))).alias(f"mark{i}") for i in range(2)]
+    told = groups.groupBy("key").agg(F.count(F.lit(1)).alias("members"), *marks, F.min("component").alias("low"), F.max("component").alias("high"))
+    keys = told.where("low <> high").groupBy("members", "mark0", "mark1").agg(F.min("key").alias("key"))
+    return groups.drop("members").join(keys.select("key", "members"), "key")
 
 
 def _small_pairs(shared: DataFrame) -> DataFrame:
@@ -370,29 +396,36 @@ def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     few = F.col("members") <= FEW_MEMBERS
     to_hub = sized.where(~few & (F.col("cls") != F.col("hub"))).select(F.least("hub", "cls").alias("a"), F.greatest("hub", "cls").alias("b"))
     pairs = _small_pairs(sized.where(few)).unionByName(to_hub).distinct()
-    for side in ("a", "b"):
+    for side in ("b", "a"):
         pairs = pairs.join(classes.select(F.col("cls").alias(side), F.col("n").alias(f"{side}_n"), F.col("sketch").alias(f"{side}_sketch")), side)
     near = pairs.where(_near_sizes("a", "b", like)).withColumn("apart", _apart("a", "b")).where(_near_apart("a", "b", like))
     near = common.stored(near.select("a", "b", "apart"), "near-pairs")
 
-    tried = common.stored(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs")  # one to compare with for each class
+    # All pairs at once if they are few; else one to compare with for each class, the others if they are still apart then.
+    tried = near.select("a", "b")
+    if near.count() > SENT_WHOLE:
+        tried = common.stored(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs")
     links = common.stored(verified(tried, docs, classes, like), "links")
     found = common.stored(components(links), "components")
 
-    large = _members(sized.where(~few).select("key", "cls", "members").distinct(), found, "cls")
-    mixed = large.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    across = _across(large.join(mixed, "key"), classes, like)
-    open_ = near.unionByName(across).groupBy("a", "b").agg(F.max("apart").alias("apart"))
-    open_ = common.stored(open_, "open-pairs")
-    most = TRIED_TOGETHER
+    large = common.stored(sized.where(~few).select("key", "cls").distinct(), "large-groups")
+    some_large = not large.isEmpty()
+    open_, most = near.select("a", "b", "apart", F.lit(False).alias("more")), TRIED_TOGETHER
     while True:
-        left = open_.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+        asked = open_
+        if some_large:
+            asked = open_.unionByName(_across(_one_of_each(_members(large, found, "cls").withColumn("members", F.lit(0))), classes, like, most))
+        left = asked.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).withColumn("tried", F.lit(True)), ["a", "b"], "left")
         left = _members(_members(left, found, "a", "a_in"), found, "b", "b_in").where("a_in <> b_in")
-        nearest = Window.partitionBy(F.least("a_in", "b_in"), F.greatest("a_in", "b_in")).orderBy("apart", "a", "b")
-        chosen = left.withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= most).select("a", "b")
-        chosen = common.stored(chosen, "pairs")
+        nearest = Window.partitionBy(F.least("a_in", "b_in"), F.greatest("a_in", "b_in")).orderBy(F.col("tried").isNotNull(), "apart", "a", "b")
+        left = left.withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= most)
+        left = common.stored(left.select("a", "b", "tried", "more"), "pairs")
+        chosen = left.where("tried IS NULL").select("a", "b").distinct()
         if chosen.isEmpty():
-            break
+            if left.where("more").isEmpty():
+                break
+            most *= TRIED_TOGETHER
+            continue
         links = common.stored(links.unionByName(verified(chosen, docs, classes, like)), "links")
         found = common.stored(components(links), "components")
         tried, most = common.stored(tried.unionByName(chosen), "tried"), most * TRIED_TOGETHER
