@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hirelake.llm import common
@@ -32,7 +32,7 @@ CELL_RATIO = 1.6
 SPARE_PARTS = 1
 SPARE_FROM = 8
 #: Members of a group all of whose pairs are made at once.
-FEW_MEMBERS = 8
+FEW_MEMBERS = 4
 #: Members of a larger group that are compared in one task; larger groups are compared block by block.
 COMPARED_TOGETHER = 2_048
 #: Pairs of two components that are compared exactly in the first round, nearest sketches first; each further round as many times more.
@@ -277,7 +277,7 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, like: Likene
 
 
 def _across(groups: DataFrame, classes: DataFrame, like: Likeness, most: int) -> DataFrame:
-    """a, b, apart, more: pairs of classes of a group but of different components whose sketches leave a link open.
+    """key, a, b, apart, more: pairs of classes of a group but of different components whose sketches leave a link open.
 
     Of two components the `most` pairs that differ in the fewest bits are given, block by block; `more` says that there are others.
     Large groups are cut into blocks; each pair of blocks is compared in one task.
@@ -305,7 +305,7 @@ def _across(groups: DataFrame, classes: DataFrame, like: Likeness, most: int) ->
                 found.append(nearest(np.full(open_.sum(), i), j[open_], apart[open_], np.zeros(open_.sum(), bool), component))
         if found:
             i, j, apart, more = nearest(*(np.concatenate(c) for c in zip(*found)), component)
-            out.append((np.minimum(cls[j], cls[i]), np.maximum(cls[j], cls[i]), apart, more))
+            out.append((np.full(len(i), rows["key"][0]), np.minimum(cls[j], cls[i]), np.maximum(cls[j], cls[i]), apart, more))
 
     def nearest(i, j, apart, more, component):
         """Of each pair of components the `most` pairs that differ least; `more` marks those of which some were left out."""
@@ -346,12 +346,10 @@ def _across(groups: DataFrame, classes: DataFrame, like: Likeness, most: int) ->
             sketch = [words[at[k] : at[k + 1]] for k in range(a, b)]
             compare({**{c: columns[c][a:b] for c in names}, "sketch": sketch}, out)
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["a", "b", "apart", "more"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["key", "a", "b", "apart", "more"])
 
     dealt = cells.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right")
-    # The same pair may meet in several groups, folded to different sizes: the widest comparison counts.
-    met = dealt.mapInArrow(run, "a bigint, b bigint, apart bigint, more boolean")
-    return met.groupBy("a", "b").agg(F.max("apart").alias("apart"), F.max("more").alias("more"))
+    return dealt.mapInArrow(run, "key bigint, a bigint, b bigint, apart bigint, more boolean")
 
 
 def _one_of_each(groups: DataFrame) -> DataFrame:
@@ -409,26 +407,29 @@ def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     found = common.stored(components(links), "components")
 
     large = common.stored(sized.where(~few).select("key", "cls").distinct(), "large-groups")
-    some_large = not large.isEmpty()
-    open_, most = near.select("a", "b", "apart", F.lit(False).alias("more")), TRIED_TOGETHER
+    open_, most = near.select(F.lit(None).cast("bigint").alias("key"), "a", "b", "apart", F.lit(False).alias("more")), TRIED_TOGETHER
+    if not large.isEmpty():
+        groups = common.stored(_one_of_each(_members(large, found, "cls").withColumn("members", F.lit(0))), "mixed-groups")
+        open_ = common.stored(open_.unionByName(_across(groups, classes, like, most)), "open-pairs")
     while True:
-        asked = open_
-        if some_large:
-            asked = open_.unionByName(_across(_one_of_each(_members(large, found, "cls").withColumn("members", F.lit(0))), classes, like, most))
-        left = asked.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).withColumn("tried", F.lit(True)), ["a", "b"], "left")
+        left = open_.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).withColumn("tried", F.lit(True)), ["a", "b"], "left")
         left = _members(_members(left, found, "a", "a_in"), found, "b", "b_in").where("a_in <> b_in")
-        nearest = Window.partitionBy(F.least("a_in", "b_in"), F.greatest("a_in", "b_in")).orderBy(F.col("tried").isNotNull(), "apart", "a", "b")
-        left = left.withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= most)
-        left = common.stored(left.select("a", "b", "tried", "more"), "pairs")
+        left = common.stored(left.select("key", "a", "b", "tried", "more"), "left-pairs")
         chosen = left.where("tried IS NULL").select("a", "b").distinct()
         if chosen.isEmpty():
-            if left.where("more").isEmpty():
+            # Groups that hold more pairs of components still apart are looked through again, for more pairs.
+            again = left.where("more").select("key").distinct()
+            if again.isEmpty():
                 break
             most *= TRIED_TOGETHER
+            groups = _members(groups.drop("component").join(again, "key"), found, "cls")
+            groups = common.stored(groups, "mixed-groups")
+            open_ = common.stored(_across(groups, classes, like, most), "open-pairs")
             continue
+        chosen = common.stored(chosen, "pairs")
         links = common.stored(links.unionByName(verified(chosen, docs, classes, like)), "links")
         found = common.stored(components(links), "components")
-        tried, most = common.stored(tried.unionByName(chosen), "tried"), most * TRIED_TOGETHER
+        tried = common.stored(tried.unionByName(chosen), "tried")
 
     joined = classes.select("cls", "rep").join(found.withColumnRenamed("node", "cls"), "cls", "left")
     joined = joined.select("cls", "rep", F.coalesce("component", "cls").alias("component"))
