@@ -63,6 +63,19 @@ def failed_names(terms: DataFrame, names: DataFrame, by: str = "cluster") -> Dat
     return names.join(found, by, "left_anti")
 
 
+def require_names(terms: DataFrame, names: DataFrame, by: str = "cluster") -> None:
+    """Stop the run if a named cluster no longer has its signature term among its top terms."""
+    wrong = failed_names(terms, names, by).select(by).limit(20).collect()
+    if wrong:
+        raise ValueError(f"clusters that no longer fit their names: {sorted(r[by] for r in wrong)}")
+
+
+def silhouette(df: DataFrame, vector: str, by: str) -> float:
+    """Silhouette (of squared distances, over all rows) of a given assignment of array vectors."""
+    made = df.select(array_to_vector(F.col(vector).cast("array<double>")).alias("v"), F.col(by).cast("int").alias("c"))
+    return ClusteringEvaluator(featuresCol="v", predictionCol="c").evaluate(made)
+
+
 def name_by_signature(terms: DataFrame, signatures: DataFrame, by: str = "cluster") -> DataFrame:
     """The role name whose signature term ranks best among a cluster's top terms.
 

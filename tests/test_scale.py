@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 
 from hirelake.functions import fixed
-from hirelake.operators import cleaning, folds, stats
+from hirelake.operators import cleaning, clustering, folds, stats
 
 
 def test_numbers_order_as_doubles(spark):
@@ -63,3 +63,24 @@ def test_a_posting_without_id_is_kept(spark):
     df = spark.createDataFrame(rows, "job_id long, title string, company_name string, description_clean string")
     out = sorted((r["job_id"] is None, r["title"].strip().lower()) for r in cleaning.deduplicate(df).collect())
     assert out == [(False, "b"), (True, "a")]
+
+
+def test_names_that_no_longer_fit_stop_the_run(spark):
+    terms = spark.createDataFrame([(0, "network admin"), (1, "payroll")], "cluster int, term string")
+    names = spark.createDataFrame([(0, "Networks", "network"), (1, "Finance", "ledger")], "cluster int, name string, signature string")
+    clustering.require_names(terms, names.where("cluster = 0"))
+    with pytest.raises(ValueError, match="1"):
+        clustering.require_names(terms, names)
+
+
+def test_silhouette_of_given_labels(spark):
+    points = np.random.default_rng(2).normal(size=(60, 3)) + np.repeat([[0, 0, 0], [5, 0, 0], [0, 6, 1]], 20, axis=0)
+    labels = np.repeat([0, 1, 2], 20)
+    df = spark.createDataFrame([(p.tolist(), int(c)) for p, c in zip(points, labels)], "v array<double>, c int")
+    far = ((points[:, None] - points[None]) ** 2).sum(axis=2)
+    scores = []
+    for i, c in enumerate(labels):
+        own = far[i][labels == c].sum() / 19
+        other = min(far[i][labels == k].mean() for k in range(3) if k != c)
+        scores.append((other - own) / max(own, other))
+    assert clustering.silhouette(df, "v", "c") == pytest.approx(np.mean(scores), abs=1e-6)
