@@ -111,15 +111,17 @@ def with_location(df: DataFrame, location: str = "location", min_count: int = 5)
     """Add city, state and location_level; levels are city, state, country, metro, other."""
     parsed = df.withColumn("_place", parse_location(location)).select("*", "_place.*").drop("_place")
     cities = city_dictionary(parsed, min_count)
-    other = parsed.where(F.col("location_level") == "other")
+    open_ = F.coalesce(F.col("location_level") == "other", F.lit(False))
+    other = parsed.where(open_)
     metros = resolve_metros(other, cities, location).select(
         F.col(location).alias("_loc"), F.col("city").alias("_city"), F.col("state").alias("_state")
     )
-    found = F.col("_city").isNotNull() & (F.col("location_level") == "other")
-    return (
-        parsed.join(metros, F.col(location) == F.col("_loc"), "left")
+    found = F.col("_city").isNotNull()
+    named = (
+        other.join(metros, F.col(location) == F.col("_loc"), "left")
         .withColumn("city", F.when(found, F.col("_city")).otherwise(F.col("city")))
         .withColumn("state", F.when(found, F.col("_state")).otherwise(F.col("state")))
         .withColumn("location_level", F.when(found, "metro").otherwise(F.col("location_level")))
         .drop("_loc", "_city", "_state")
     )
+    return parsed.where(~open_).unionByName(named)  # only places that are still open are joined
