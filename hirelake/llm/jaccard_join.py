@@ -36,7 +36,7 @@ FEW_MEMBERS = 4
 #: Members of a larger group that are compared in one task; larger groups are compared block by block.
 COMPARED_TOGETHER = 2_048
 #: Pairs of two components that are compared exactly in the first round, nearest sketches first; each further round as many times more.
-TRIED_TOGETHER = 8
+TRIED_FIRST, TRIED_MORE = 2, 8
 #: Rows that are sent to every executor at most, else joined by a shuffle.
 SENT_WHOLE = 200_000
 
@@ -407,7 +407,7 @@ def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     found = common.stored(components(links), "components")
 
     large = common.stored(sized.where(~few).select("key", "cls").distinct(), "large-groups")
-    open_, most = near.select(F.lit(None).cast("bigint").alias("key"), "a", "b", "apart", F.lit(False).alias("more")), TRIED_TOGETHER
+    open_, most = near.select(F.lit(None).cast("bigint").alias("key"), "a", "b", "apart", F.lit(False).alias("more")), TRIED_FIRST
     if not large.isEmpty():
         groups = common.stored(_one_of_each(_members(large, found, "cls").withColumn("members", F.lit(0))), "mixed-groups")
         open_ = common.stored(open_.unionByName(_across(groups, classes, like, most)), "open-pairs")
@@ -421,7 +421,7 @@ def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
             again = left.where("more").select("key").distinct()
             if again.isEmpty():
                 break
-            most *= TRIED_TOGETHER
+            most *= TRIED_MORE
             groups = _members(groups.drop("component").join(again, "key"), found, "cls")
             groups = common.stored(groups, "mixed-groups")
             open_ = common.stored(_across(groups, classes, like, most), "open-pairs")
