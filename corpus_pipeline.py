@@ -38,7 +38,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
         least = docs.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", *others)).alias("row"))
         least = least.select("doc_id", "row.*").select(*docs.columns)
         docs = common.stored(_without(docs, repeated).unionByName(least), "documents")
-    found = jaccard_join.near_duplicates(docs, jaccard_join.Likeness(words=5, least=4, of=5))
+    found = jaccard_join.near_duplicates(docs, jaccard_join.Likeness(words=5, least=4, of=5), count_links=False)
     return _without(docs, common.stored(found.where("doc_id <> component_id").select("doc_id"), "removed"))
 
 

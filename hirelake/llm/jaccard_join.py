@@ -9,6 +9,9 @@ Documents of equal sets are one class and go through once. In a group of classes
 and is compared with the smallest, so the work grows with the group, not with its square. Classes that end up connected need no more
 comparing. In the groups that still hold several components, whole sketches (some bits for each shingle) are compared across components, and pairs that these
 do not rule out are compared exactly, nearest first, until every such pair is compared or connected. No pair is left out.
+
+Linked sets are of one component, so links are counted once the components are known: all pairs of a component's classes, block by block within
+tasks, which hand on a count per class and no pairs. That work grows with the square of a component, and its sets travel once a block.
 """
 
 import itertools
@@ -39,6 +42,8 @@ COMPARED_TOGETHER = 2_048
 TRIED_FIRST, TRIED_MORE = 2, 8
 #: Rows that are sent to every executor at most, else joined by a shuffle.
 SENT_WHOLE = 200_000
+#: Classes of a component, and shingles of their sets, that make one block when links are counted; a task holds two blocks.
+COUNTED_TOGETHER, SHINGLES_TOGETHER = 1_024, 1 << 21
 
 
 @dataclass(frozen=True)
@@ -276,6 +281,31 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, like: Likene
     return met.select(F.col("hub").alias("u"), F.col("own").alias("v")).distinct()
 
 
+def _whole_groups(batches, names: list[str]):
+    """Tables of whole groups from batches sorted by `names`: the rows of a group are held until its last one has come."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        if held[0].slice(0, 1).select(names).equals(batch.slice(batch.num_rows - 1).select(names)):
+            continue
+        table = pa.Table.from_batches(held)
+        last = [table.column(c)[-1].as_py() for c in names]
+        same = np.logical_and.reduce([table.column(c).to_numpy() == x for c, x in zip(names, last)])
+        whole = len(same) - int(np.argmin(same[::-1]))
+        yield table.slice(0, whole)
+        held = table.slice(whole).combine_chunks().to_batches()
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _groups(columns: list[np.ndarray]):
+    """(first, end) of each run of equal values in all columns."""
+    edges = np.flatnonzero(np.concatenate([[True], np.logical_or.reduce([c[1:] != c[:-1] for c in columns]), [True]]))
+    return zip(edges[:-1].tolist(), edges[1:].tolist())
+
+
 def _across(groups: DataFrame, classes: DataFrame, like: Likeness, most: int) -> DataFrame:
     """key, a, b, apart, more: pairs of classes of a group but of different components whose sketches leave a link open.
 
@@ -322,27 +352,16 @@ def _across(groups: DataFrame, classes: DataFrame, like: Likeness, most: int) ->
     names = ["key", "left", "right", "block", "cls", "component", "n"]
 
     def run(batches):
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            held.append(batch)
-            table = pa.Table.from_batches(held)
-            last = [table.column(c)[-1].as_py() for c in names[:3]]
-            same = np.logical_and.reduce([table.column(c).to_numpy() == x for c, x in zip(names[:3], last)])
-            whole = len(same) - int(np.argmin(same[::-1])) if not same.all() else 0
-            if whole:
-                yield from compared(table.slice(0, whole))
-                held = table.slice(whole).combine_chunks().to_batches()
-        if held:
-            yield from compared(pa.Table.from_batches(held))
+        for table in _whole_groups(batches, names[:3]):
+            yield from compared(table)
 
     def compared(table: pa.Table):
         columns = {c: table.column(c).to_numpy() for c in names}
         lists = table.column("sketch").combine_chunks()
         at, words = lists.offsets.to_numpy(), lists.flatten().to_numpy().view(np.uint64)
         at = at - at[0]
-        edges = np.flatnonzero(np.concatenate([[True], np.logical_or.reduce([columns[c][1:] != columns[c][:-1] for c in names[:3]]), [True]]))
         out: list = []
-        for a, b in zip(edges[:-1], edges[1:]):
+        for a, b in _groups([columns[c] for c in names[:3]]):
             sketch = [words[at[k] : at[k + 1]] for k in range(a, b)]
             compare({**{c: columns[c][a:b] for c in names}, "sketch": sketch}, out)
         if out:
@@ -373,12 +392,95 @@ def _members(rows: DataFrame, found: DataFrame, node: str, name: str = "componen
     return rows.join(known, node, "left").withColumn(name, F.coalesce(name, node))
 
 
-def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
-    """doc_id, n_shingles, component_id, links of each document of `docs` (doc_id, text).
+def _links_of(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, like: Likeness) -> np.ndarray:
+    """Links of each of the sorted sets with those of the other side, both given as places; equal sides: links among them."""
+    n = np.array([len(s) for s in sets])
+    sketches = [_sketch(s).view(np.uint64) for s in sets]
+    shortest = min(len(x) for x in sketches)
+    folded = np.stack([np.bitwise_xor.reduce(x.reshape(-1, shortest), axis=0) for x in sketches])
+    members, places = np.unique(np.concatenate(sets), return_inverse=True)
+    places = np.split(places.astype(np.int32), np.cumsum(n)[:-1])
+    held = np.zeros(len(members), np.uint8)
+    links = np.zeros(len(sets), np.int64)
+    among = np.array_equal(left, right)
+    for at, i in enumerate(left.tolist()):
+        j = right[at + 1 :] if among else right
+        j = j[np.minimum(n[j], n[i]) * like.of >= np.maximum(n[j], n[i]) * like.least]
+        apart = np.bitwise_count(folded[j] ^ folded[i]).sum(axis=1, dtype=np.int64)
+        j = j[apart * (like.of + like.least) <= (n[j] + n[i]) * (like.of - like.least)]
+        if len(j):
+            held[places[i]] = 1
+            of_all = held[np.concatenate([places[k] for k in j.tolist()])]
+            both = np.add.reduceat(of_all, np.cumsum(n[j]) - n[j], dtype=np.int64)
+            held[places[i]] = 0
+            j = j[both * like.of >= (n[j] + n[i] - both) * like.least]
+            links[i] += len(j)
+            links[j] += 1
+    return links
+
+
+def link_counts(links: DataFrame, found: DataFrame, docs: DataFrame, classes: DataFrame, like: Likeness) -> DataFrame:
+    """cls, links of each class of the components `found`: how many other classes it is linked with. `links` (u, v) are those known.
+
+    A component all of whose pairs are known links is settled; in the others all pairs are compared.
+    """
+    known = links.join(found, F.col("u") == F.col("node")).groupBy("component").agg(F.count(F.lit(1)).alias("known"))
+    of_found = found.join(classes.select(F.col("cls").alias("node"), "rep", "n"), "node")
+    sizes = of_found.groupBy("component").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"))
+    sizes = sizes.join(known, "component").where("2 * known < members * (members - 1)")
+    blocks = f"cast(ceil(greatest(members / {COUNTED_TOGETHER}, shingles / {SHINGLES_TOGETHER})) as int)"
+    asked = of_found.join(sizes.select("component", F.expr(blocks).alias("blocks")), "component")
+    asked = asked.withColumn("block", F.expr("cast(pmod(xxhash64(node), blocks) as int)"))
+    asked = common.stored(asked.select(F.col("node").alias("cls"), "rep", F.col("component").alias("key"), "blocks", "block"), "asked")
+    settled = links.select(F.explode(F.array("u", "v")).alias("cls")).join(asked.select("cls"), "cls", "left_anti")
+    settled = settled.groupBy("cls").agg(F.count(F.lit(1)).alias("links"))
+
+    of_doc = asked.groupBy("rep").agg(F.collect_list(F.struct("cls", "key", "blocks", "block")).alias("asked"))
+    of_doc = F.broadcast(of_doc) if asked.count() <= SENT_WHOLE else of_doc
+    texts = docs.select("doc_id", "text").join(of_doc, F.col("doc_id").eqNullSafe(F.col("rep"))).select("text", "asked")
+
+    def make(batch: pa.RecordBatch) -> dict:
+        rows, sets = [], []
+        for own, wanted in zip(shingle_sets(batch.column("text"), like.words), batch.column("asked").to_pylist()):
+            cls = int(np.array([_class(own)]).view(np.int64)[0])
+            mine = [w for w in wanted if w["cls"] == cls]
+            rows += mine
+            sets += [own.view(np.int64)] * len(mine)
+        told = {c: pa.array([r[c] for r in rows], kind) for c, kind in (("cls", pa.int64()), ("key", pa.int64()), ("blocks", pa.int32()), ("block", pa.int32()))}
+        return {**told, "members": pa.array(sets, pa.list_(pa.int64()))}
+
+    made = common.per_batch(texts, make, "cls bigint, key bigint, blocks int, block int, members array<bigint>")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    cells = made.withColumn("other", other).select(
+        "key", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "block", "cls", "members"
+    )
+    names = ["key", "left", "right"]
+
+    def run(batches):
+        for table in _whole_groups(batches, names):
+            columns = {c: table.column(c).to_numpy() for c in (*names, "block", "cls")}
+            lists = table.column("members").combine_chunks()
+            at, hashes = lists.offsets.to_numpy(), lists.flatten().to_numpy().view(np.uint64)
+            at = at - at[0]
+            for a, b in _groups([columns[c] for c in names]):
+                cls, place = np.unique(columns["cls"][a:b], return_index=True)  # documents of equal id may hold a set twice
+                place += a
+                block = columns["block"][place]
+                sides = [np.flatnonzero(block == columns[c][a]) for c in ("left", "right")]
+                counted = _links_of([hashes[at[k] : at[k + 1]] for k in place.tolist()], *sides, like)
+                if counted.any():
+                    yield pa.RecordBatch.from_arrays([pa.array(cls[counted > 0]), pa.array(counted[counted > 0])], ["cls", "links"])
+
+    dealt = cells.repartition(*names).sortWithinPartitions(*names)
+    counted = dealt.mapInArrow(run, "cls bigint, links bigint").groupBy("cls").agg(F.sum("links").alias("links"))
+    return common.stored(settled.unionByName(counted), "link-counts")
+
+
+def near_duplicates(docs: DataFrame, like: Likeness = Likeness(), count_links: bool = True) -> DataFrame:
+    """doc_id, n_shingles, component_id, links of each document of `docs` (doc_id, text); without `count_links` no links.
 
     Two documents are linked if their shingle sets are similar enough; component_id is the smallest doc_id reachable by links, itself
-    included. `links` counts the links between different sets that
-    were looked at on the way to the components, so at least one if there are any; copies are not counted. Documents without words (null, empty)
+    included. `links` is the number of other sets that the document's set is linked with; sets of copies count once, its own not. Documents without words (null, empty)
     are linked with nothing and have their own id. Rows of equal doc_id are documents of their own; other columns are ignored; an empty
     table gives an empty table.
     """
@@ -434,9 +536,11 @@ def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     joined = classes.select("cls", "rep").join(found.withColumnRenamed("node", "cls"), "cls", "left")
     joined = joined.select("cls", "rep", F.coalesce("component", "cls").alias("component"))
     smallest = joined.groupBy("component").agg(F.min("rep").alias("component_id"))
-    degree = links.select(F.explode(F.array("u", "v")).alias("cls")).groupBy("cls").agg(F.count(F.lit(1)).alias("links"))
-    of_class = joined.join(smallest, "component").join(degree, "cls", "left").select("cls", "component_id", F.coalesce("links", F.lit(0)).alias("links"))
-    of_class = common.stored(of_class, "of-class")
-    linked = some.select("doc_id", "n_shingles", "cls").join(of_class, "cls").select("doc_id", "n_shingles", "component_id", "links")
-    none = summary.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("links"))
-    return linked.unionByName(none)
+    of_class, told = joined.join(smallest, "component"), ["component_id"]
+    if count_links:
+        degree = link_counts(links, found, docs, classes, like)
+        of_class, told = of_class.join(degree, "cls", "left").withColumn("links", F.coalesce("links", F.lit(0).cast("long"))), [*told, "links"]
+    of_class = common.stored(of_class.select("cls", *told), "of-class")
+    linked = some.select("doc_id", "n_shingles", "cls").join(of_class, "cls").select("doc_id", "n_shingles", *told)
+    none = {"component_id": F.col("doc_id"), "links": F.lit(0).cast("long")}
+    return linked.unionByName(summary.where("n_shingles = 0").select("doc_id", "n_shingles", *[none[c].alias(c) for c in told]))

@@ -102,6 +102,28 @@ def test_odd(odd, empty):
     assert jaccard_join.near_duplicates(empty, LIKE).count() == 0
 
 
+def degrees(rows, like):
+    """Links of each row: other sets that its set is linked with."""
+    sets = [frozenset(shingles(t, like.words)) for _, t in rows]
+    each = [s for s in set(sets) if s]
+    n = {s: sum(1 for o in each if o != s and like.of * len(s & o) >= like.least * len(s | o)) for s in each}
+    return Counter((d, n.get(s, 0)) for (d, _), s in zip(rows, sets))
+
+
+@pytest.mark.parametrize("at_once, together", [(200_000, 1024), (1, 7)])
+def test_links_are_whole(spark, monkeypatch, at_once, together):
+    """Near copies of one text, most of them linked with each other and not just with one, some of them twice."""
+    monkeypatch.setattr(jaccard_join, "SENT_WHOLE", at_once)
+    monkeypatch.setattr(jaccard_join, "COUNTED_TOGETHER", together, raising=False)
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(200)]
+    texts = [" ".join(edited(rng, base, rng.randrange(4))) for _ in range(60)]
+    rows = [(i, t) for i, t in enumerate([*texts, *texts[:5]])] + [(100 + i, t) for i, t in family(3, 150)] + [(None, texts[7]), (3, "a b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = Counter((r["doc_id"], r["links"]) for r in jaccard_join.near_duplicates(df, LIKE).collect())
+    assert out == degrees(rows, LIKE) and max(n for _, n in out) > 20
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.integers(0, 10**6), st.sampled_from([LIKE, jaccard_join.Likeness()]), st.integers(1, 400), st.data())
 def test_linked_sets_share_a_key(seed, like, n, data):
