@@ -112,9 +112,9 @@ def cv_compare(spark, sf):
 
 @query("grid_search")
 def grid_search(spark, sf):
-    """The regularisation of the logistic model, over all terms."""
-    grid = {"C": fixed.CLASSIFIER_GRIDS["Logistic Regression"]["C"]}
-    return models.grid_search(_train(spark, sf), "Logistic Regression", grid, parallelism=fixed.CV_FOLDS)
+    """The whole grid of the classifier that the comparison puts first."""
+    name, params = models.best_params(compared(spark, sf))
+    return models.grid_search(_train(spark, sf), name, fixed_params=params, parallelism=fixed.CV_FOLDS)
 
 
 def _variant_scores(spark, sf):

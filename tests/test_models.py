@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from hirelake.functions import fixed
 from hirelake.operators import clustering, features, lsa, models, recommend, scoring, tfidf, training
+from hirelake.plans import model_queries
 from hirelake.sources import files
 from hirelake.sources.stages import materialize
 from hirelake.streaming import scoring as stream_scoring
@@ -91,6 +92,16 @@ def test_cross_validation_and_grid(rows):
     assert compared["macro_f1"] > 0.5 and models.best_params(models.ranked(scores)) == ("Logistic Regression", quick)
 
 
+def test_grid_query_tries_the_whole_grid_of_the_winner(spark, monkeypatch):
+    first, asked = spark.createDataFrame([("Linear SVM", "{}", 1)], "model string, params string, place int"), []
+    monkeypatch.setattr(model_queries, "compared", lambda *_: first)
+    monkeypatch.setattr(model_queries, "_train", lambda *_: None)
+    monkeypatch.setattr(models, "fold_scores", lambda train, tries, **_: asked.extend(tries) or spark.createDataFrame([], models.SCORES))
+    model_queries.grid_search(spark, "")
+    grid = fixed.CLASSIFIER_GRIDS["Linear SVM"]
+    assert asked == [("Linear SVM", {"C": c, "max_features": n}) for c in grid["C"] for n in grid["max_features"]]
+
+
 def test_limit_of_passes_is_told(rows):
     with pytest.warns(UserWarning, match="without having converged"):
         models.fit(rows, "Logistic Regression", {"max_features": 100, "max_iter": 1}, min_df=2)
