@@ -102,6 +102,11 @@ def test_grid_query_tries_the_whole_grid_of_the_winner(spark, monkeypatch):
     assert asked == [("Linear SVM", {"C": c, "max_features": n}) for c in grid["C"] for n in grid["max_features"]]
 
 
+def test_queries_fit_with_the_full_settings():
+    asked = {n: ({**models.CANDIDATES[n].params, **s}, s.get("max_features", models.CANDIDATES[n].max_features)) for n, s in model_queries.SETTINGS.items()}
+    assert asked == {n: (s, fixed.MAX_TERMS[n]) for n, s in fixed.CLASSIFIER_SETTINGS.items()}
+
+
 def test_limit_of_passes_is_told(rows):
     with pytest.warns(UserWarning, match="without having converged"):
         models.fit(rows, "Logistic Regression", {"max_features": 100, "max_iter": 1}, min_df=2)
