@@ -29,22 +29,28 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by four fifths of their five-word shingles, the one of the smallest id.
 
-    Of rows of equal id one stays (the smallest text); documents without id, and without words, stay.
+    Rows of equal id are documents of their own: of those with the same text one stays (the smallest of the other columns), those of different
+    texts go only if they are linked with one that stays. Documents without id, and without words, stay.
     """
     repeated = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
     repeated = common.stored(repeated, "repeated-ids")
-    if not repeated.isEmpty():
+    several = not repeated.isEmpty()
+    if several:
         others = [c for c in docs.columns if c not in ("doc_id", "text")]
-        least = docs.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", *others)).alias("row"))
-        least = least.select("doc_id", "row.*").select(*docs.columns)
-        docs = common.stored(_without(docs, repeated).unionByName(least), "documents")
-    found = jaccard_join.near_duplicates(docs, jaccard_join.Likeness(words=5, least=4, of=5), count_links=False)
-    return _without(docs, common.stored(found.where("doc_id <> component_id").select("doc_id"), "removed"))
-
-
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    few = ids.count() <= SENT_WHOLE
-    return docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_anti").select(*docs.columns)
+        least = docs.join(repeated, "doc_id", "left_semi").groupBy("doc_id", "text").agg(F.min(F.struct(F.lit(0).alias("_"), *others)).alias("row"))
+        least = least.select("doc_id", "text", *[F.col("row")[c].alias(c) for c in others]).select(*docs.columns)
+        docs = common.stored(docs.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(least), "documents")
+    texts = docs.select("doc_id", "text", common.text_key("text").alias("_key"))
+    found = jaccard_join.near_duplicates(texts, jaccard_join.Likeness(words=5, least=4, of=5), count_links=False, keep=("_key",))
+    removed = found.where("doc_id <> component_id").select("doc_id", "_key")
+    if several:  # texts of the smallest id that are linked with each other
+        firsts = found.where("doc_id = component_id AND component IS NOT NULL").join(repeated, "doc_id", "left_semi")
+        least = firsts.groupBy("component").agg(F.min("_key").alias("least"))
+        removed = removed.unionByName(firsts.join(least, "component").where("_key > least").select("doc_id", "_key"))
+    removed = common.stored(removed, "removed")
+    few = removed.count() <= SENT_WHOLE
+    keyed = docs.withColumn("_key", common.text_key("text"))
+    return keyed.join(F.broadcast(removed) if few else removed, ["doc_id", "_key"], "left_anti").select(*docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -111,8 +111,8 @@ def _sketch(found: np.ndarray) -> np.ndarray:
     return np.packbits(np.bincount(places, minlength=bits).astype(np.uint8) & 1).view(np.int64)
 
 
-def summaries(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles, cls, sketch of each document; cls stands for the set."""
+def summaries(docs: DataFrame, words: int, keep: tuple[str, ...] = ()) -> DataFrame:
+    """keep..., doc_id, n_shingles, cls, sketch of each document; cls stands for the set."""
 
     def run(batch: pa.RecordBatch) -> dict:
         sets = shingle_sets(batch.column("text"), words)
@@ -123,7 +123,7 @@ def summaries(docs: DataFrame, words: int) -> DataFrame:
             "sketch": pa.array([_sketch(s) for s in sets], pa.list_(pa.int64())),
         }
 
-    return common.per_batch(docs.select("doc_id", "text"), run, "doc_id bigint, n_shingles bigint, cls bigint, sketch array<bigint>")
+    return common.per_batch(docs.select("doc_id", "text", *keep), run, "doc_id bigint, n_shingles bigint, cls bigint, sketch array<bigint>", keep)
 
 
 def part_keys(found: np.ndarray, like: Likeness, cells: list[tuple[int, int]]) -> np.ndarray:
@@ -476,15 +476,18 @@ def link_counts(links: DataFrame, found: DataFrame, docs: DataFrame, classes: Da
     return common.stored(settled.unionByName(counted), "link-counts")
 
 
-def near_duplicates(docs: DataFrame, like: Likeness = Likeness(), count_links: bool = True) -> DataFrame:
+def near_duplicates(docs: DataFrame, like: Likeness = Likeness(), count_links: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, n_shingles, component_id, links of each document of `docs` (doc_id, text); without `count_links` no links.
 
+    Columns of `docs` named by `keep` stay, with `component` behind them: one number for the rows of a component (null: no words), as several
+    components may have the same smallest doc_id if ids repeat.
+
     Two documents are linked if their shingle sets are similar enough; component_id is the smallest doc_id reachable by links, itself
     included. `links` is the number of other sets that the document's set is linked with; sets of copies count once, its own not. Documents without words (null, empty)
     are linked with nothing and have their own id. Rows of equal doc_id are documents of their own; other columns are ignored; an empty
     table gives an empty table.
     """
-    summary = common.stored(summaries(docs, like.words), "summaries")
+    summary = common.stored(summaries(docs, like.words, keep), "summaries")
     some = summary.where("n_shingles > 0")
     classes = some.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.max("sketch").alias("sketch"))
     classes = common.stored(classes, "classes")
@@ -536,11 +539,11 @@ def near_duplicates(docs: DataFrame, like: Likeness = Likeness(), count_links: b
     joined = classes.select("cls", "rep").join(found.withColumnRenamed("node", "cls"), "cls", "left")
     joined = joined.select("cls", "rep", F.coalesce("component", "cls").alias("component"))
     smallest = joined.groupBy("component").agg(F.min("rep").alias("component_id"))
-    of_class, told = joined.join(smallest, "component"), ["component_id"]
+    of_class, told = joined.join(smallest, "component"), ["component_id", *(["component"] if keep else [])]
     if count_links:
         degree = link_counts(links, found, docs, classes, like)
         of_class, told = of_class.join(degree, "cls", "left").withColumn("links", F.coalesce("links", F.lit(0).cast("long"))), [*told, "links"]
     of_class = common.stored(of_class.select("cls", *told), "of-class")
-    linked = some.select("doc_id", "n_shingles", "cls").join(of_class, "cls").select("doc_id", "n_shingles", *told)
-    none = {"component_id": F.col("doc_id"), "links": F.lit(0).cast("long")}
-    return linked.unionByName(summary.where("n_shingles = 0").select("doc_id", "n_shingles", *[none[c].alias(c) for c in told]))
+    linked = some.select("doc_id", *keep, "n_shingles", "cls").join(of_class, "cls").select("doc_id", *keep, "n_shingles", *told)
+    none = {"component_id": F.col("doc_id"), "component": F.lit(None).cast("long"), "links": F.lit(0).cast("long")}
+    return linked.unionByName(summary.where("n_shingles = 0").select("doc_id", *keep, "n_shingles", *[none[c].alias(c) for c in told]))

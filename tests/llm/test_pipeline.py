@@ -84,6 +84,20 @@ def test_stages_find_what_they_should(spark):
     assert masked[5] == ("[assign] end", 12) and masked[4][0] == rows[4][1] and masked[6] == (None, None)
 
 
+def test_rows_of_one_id_and_different_text_stay(spark):
+    words = [f"w{i}" for i in range(900)]
+    texts = [" ".join(words[a : a + 100]) for a in range(0, 900, 100)]
+    rows = [
+        (1, texts[0]), (1, None), (1, ""), (2, texts[1]), (2, texts[2]), (3, texts[1] + " edit"), (4, texts[3]), (4, texts[3]), (5, texts[4]),
+        (5, texts[4] + " edit"), (5, texts[5]), (6, texts[0]), (6, texts[6]), (None, texts[0]),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = [tuple(r) for r in corpus_pipeline.one_of_each_group(spark, docs, FOLDER).collect()]
+    near = {(5, texts[4]), (5, texts[4] + " edit")}
+    assert len(near & set(kept)) == 1 and sorted(set(kept) - near, key=str) == sorted(set(rows) - near - {(3, texts[1] + " edit"), (6, texts[0])}, key=str)
+    assert len(kept) == len(set(kept))
+
+
 @pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
 def test_odd_and_empty(spark, odd, empty, name):
     stage = dict(corpus_pipeline.STAGES)[name]
