@@ -217,11 +217,15 @@ def _log_odds(item: np.ndarray, text: np.ndarray, toxic: np.ndarray, n: int):
     return often[np.argsort(-(has[0] + has[1])[often], kind="stable")], np.clip(np.log(share[1] / share[0]), -3, 3).astype(np.float32)
 
 
-def train(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Network:
-    """A network for texts labelled 0 or 1. With texts of one class only, or none, it gives every text the smoothed base rate."""
+def train(texts: list[str], toxic: np.ndarray, seed: int = 7, totals: tuple[int, int] | None = None) -> Network:
+    """A network for texts labelled 0 or 1. With texts of one class only, or none, it gives every text the smoothed base rate.
+
+    `totals` are the counts of the classes that the texts are drawn from (else those of the texts): the threshold errs least at that ratio.
+    """
     rng = np.random.default_rng(seed)
     v = Vocabulary(_column(texts))
-    rate = (toxic.sum() + 0.5) / (len(toxic) + 1.0)
+    totals = totals or tuple(int((toxic == c).sum()) for c in (0, 1))
+    rate = (totals[1] + 0.5) / (sum(totals) + 1.0)
     row = v.words.rows()
     top, odds = _log_odds(v.of, row, toxic, len(v.hashes))
     chosen = np.sort(top[:KNOWN_WORDS])
@@ -254,16 +258,18 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Network:
                 x -= (rate_now * (m / (np.sqrt(s) + 1e-8) + DECAY * x)).astype(np.float32)
     scored = net.logits(v, numbers, lengths)
     highest = np.maximum.reduceat(scored, first[usable]) if len(usable) else scored
-    net.p["bias"][0] -= _border(highest, toxic[usable])
+    drawn = [max(1, int((toxic[usable] == c).sum())) for c in (0, 1)]
+    net.p["bias"][0] -= _border(highest, toxic[usable], (totals[0] * drawn[1], totals[1] * drawn[0]))
     return net
 
 
-def _border(logits: np.ndarray, toxic: np.ndarray) -> float:
-    """The middle of the logits that part the classes with the fewest errors."""
+def _border(logits: np.ndarray, toxic: np.ndarray, weights: tuple[int, int] = (1, 1)) -> float:
+    """The middle of the logits that part the classes with the fewest errors, those on class c counted `weights[c]` times."""
     order = np.argsort(logits, kind="stable")
     logits, toxic = logits[order], toxic[order]
     # Errors if the first i count as clean and the others as toxic.
-    errors = np.concatenate([[0], np.cumsum(toxic)]) + np.concatenate([np.cumsum((1 - toxic)[::-1])[::-1], [0]])
+    missed, wrong = np.concatenate([[0], np.cumsum(toxic)]), np.concatenate([np.cumsum((1 - toxic)[::-1])[::-1], [0]])
+    errors = missed * weights[1] + wrong * weights[0]
     best = np.flatnonzero(errors == errors.min())
     below, above = logits[max(0, best[0] - 1)], logits[min(len(logits) - 1, best[-1])]
     return float((below + above) / 2)
@@ -297,16 +303,18 @@ def held_out(doc_id) -> F.Column:
 def fit(docs: DataFrame, labels: DataFrame, most: dict[int, int] = TRAINED_ON) -> Network:
     """Train on at most `most[c]` texts of each class c, drawn by a hash of the id among labelled documents that are not held out.
 
-    `docs` has doc_id, text; `labels` doc_id, toxic (0, 1; null: not labelled; several rows of a document: the highest counts).
+    `docs` has doc_id, text; `labels` doc_id, toxic (0, 1; null: not labelled; several rows of a document: the highest counts). The threshold
+    is set for the ratio of the classes among all those labelled documents, whatever was drawn.
     """
     known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     known = known.where(~held_out(F.col("doc_id")))
+    counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     drawn = [known.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for c, n in most.items()]
     ids = F.broadcast(drawn[0].unionByName(drawn[1]))  # at most sum(most.values()) rows
     rows = docs.select("doc_id", "text").join(ids, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"))
     rows = rows.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= TRAINING_BYTES)
     found = sorted(rows.collect(), key=lambda r: r["doc_id"])
-    return train([r["text"] or "" for r in found], np.array([r["toxic"] for r in found], dtype=np.int64))
+    return train([r["text"] or "" for r in found], np.array([r["toxic"] for r in found], dtype=np.int64), totals=(counts.get(0, 0), counts.get(1, 0)))
 
 
 def score_batch(column: pa.Array, net: Network) -> np.ndarray:

@@ -75,6 +75,17 @@ def test_one_class_gives_the_base_rate():
         assert toxicity.score_batch(column(["any", ""]), net) == pytest.approx([(sum(toxic) + 0.5) / (len(toxic) + 1)] * 2, abs=1e-6)
 
 
+def test_the_border_holds_for_the_ratio_of_all_labels(spark):
+    logits, toxic = np.array([-3.0, -2, -1, 0, 1, 2, 3, 4]), np.array([0, 0, 0, 1, 0, 0, 1, 1])
+    assert toxicity._border(logits, toxic) == 2.5 and toxicity._border(logits, toxic, (1, 10)) == -0.5
+    rng = np.random.default_rng(1)
+    texts = [f"{'vile' if toxic and rng.random() < 0.7 or not toxic and rng.random() < 0.3 else 'kind'} w{i % 9}" for i in range(900) for toxic in [i % 10 == 0]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(900)], "doc_id long, toxic int")
+    called = [(toxicity.score_batch(column(texts), toxicity.fit(docs, labels, most)) >= 0.5).sum() for most in ({1: 1000, 0: 2000}, {1: 60, 0: 60})]
+    assert max(called) < 100  # one in ten is toxic, and words tell too little to call more than that
+
+
 def test_odd(spark, odd, empty):
     _, net = net_for(TEXTS)
     out = toxicity.score(odd, net).collect()
