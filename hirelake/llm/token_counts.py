@@ -16,6 +16,8 @@ from hirelake.llm import common, vocab
 
 #: Most frequent pre-tokens whose counts every task holds; the others are joined. Bounds a broadcast.
 HELD = 200_000
+#: Bytes of a held pre-token at most; longer ones are joined.
+HELD_BYTES = 64
 #: Distinct pre-tokens a task gathers before it hands them on.
 GATHERED = 200_000
 STRETCH = re.compile(" +[^ ]*")
@@ -69,7 +71,7 @@ def token_counts(docs: DataFrame, model: str = "piece_bpe_32k.model", limit: int
     in doc_id and text each gives a row. Other columns are ignored; an empty table gives an empty table.
     """
     counted = common.stored(count_pieces(distinct_pre_tokens(docs), model), "pre-tokens")
-    top = counted.orderBy(F.desc("freq"), "piece").limit(HELD).select("piece", "tokens")
+    top = counted.where(F.octet_length("piece") <= HELD_BYTES).orderBy(F.desc("freq"), "piece").limit(HELD).select("piece", "tokens")
     held = docs.sparkSession.sparkContext.broadcast({r["piece"]: r["tokens"] for r in top.toLocalIterator()})
 
     def run(batches):

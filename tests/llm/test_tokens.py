@@ -80,6 +80,16 @@ def test_counts_with_few_held(spark, piece, monkeypatch):
     assert out == {d: len(piece.encode(t)) for d, t in ids_and_texts(docs)}
 
 
+def test_long_pre_tokens_are_not_held(spark, piece, monkeypatch):
+    context, held = type(spark.sparkContext), []
+    broadcast = context.broadcast
+    monkeypatch.setattr(context, "broadcast", lambda self, value: held.append(value) or broadcast(self, value))
+    rows = [(0, "a b " + "x" * 64), (1, "日本語" * 300 + " a"), (2, "y" * 65), (3, "y" * 65 + " b")]
+    out = {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == {d: len(piece.encode(t)) for d, t in rows}
+    assert [set(h) for h in held if isinstance(h, dict)] == [{"a", "b", "x" * 64}]
+
+
 def test_count_nothing(empty):
     assert token_counts.token_counts(empty).count() == 0
 
