@@ -8,7 +8,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelake.llm import byte_bpe, common, exact_search, jaccard_join, near_search, packing, secrets, substring_dedup, token_counts, toxicity, url_filter
+from hirelake.llm import (
+    byte_bpe,
+    common,
+    conversations,
+    exact_search,
+    jaccard_join,
+    near_search,
+    packing,
+    secrets,
+    substring_dedup,
+    token_counts,
+    toxicity,
+    url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -130,3 +143,10 @@ def op9(spark, sf):
 @query("op10_packing")
 def op10(spark, sf):
     return packing.pack(common.table(spark, sf, "documents"), "word_bpe_49k.json", 4096, end_id=1)
+
+
+@query("op11_conversation_repair")
+def op11(spark, sf):
+    """Conversations with faults put in, and their cheapest repair."""
+    given = common.table(spark, sf, "conversations")
+    return conversations.repair(conversations.damaged(given), ids=given)
