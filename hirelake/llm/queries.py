@@ -16,6 +16,7 @@ from hirelake.llm import (
     jaccard_join,
     near_search,
     packing,
+    phrases,
     secrets,
     substring_dedup,
     token_counts,
@@ -150,3 +151,28 @@ def op11(spark, sf):
     """Conversations with faults put in, and their cheapest repair."""
     given = common.table(spark, sf, "conversations")
     return conversations.repair(conversations.damaged(given), ids=given)
+
+
+OP13_SQL = """
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, [x FOR x IN string_split_regex(piece, '[ \\t]+') IF x <> ''] AS ws FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM words GROUP BY lang),
+places AS (SELECT lang, k, unnest([ws[i:i + k - 1] FOR i IN range(1, len(ws) - k + 2)]) AS ws FROM words, (VALUES (1), (2), (3)) AS t(k) WHERE len(ws) >= k),
+grams AS (SELECT lang, k, ws, count(*) AS f FROM places GROUP BY ALL),
+often AS (SELECT *, array_to_string(ws, ' ') AS phrase FROM grams WHERE f >= 10),
+parts AS (SELECT lang, k, phrase, f AS a, j, array_to_string(ws[:j], ' ') AS left_, array_to_string(ws[j + 1:], ' ') AS right_
+    FROM often, (VALUES (1), (2)) AS t(j) WHERE k > j),
+cuts AS (SELECT p.*, l.f AS l, r.f AS r, CAST((1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+    FROM parts p JOIN often l ON l.lang = p.lang AND l.phrase = p.left_ JOIN often r ON r.lang = p.lang AND r.phrase = p.right_),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inner_ AS (SELECT lang, array_to_string(ws[p:p + 1], ' ') AS phrase, max(f) AS longer FROM often, (VALUES (1), (2)) AS t(p) WHERE k = 3 GROUP BY ALL)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank, b.phrase, a, l, r, n, score
+FROM best b JOIN totals USING (lang) LEFT JOIN inner_ i ON i.lang = b.lang AND i.phrase = b.phrase AND b.k = 2
+WHERE longer IS NULL OR 100 * longer < 50 * a QUALIFY rank <= 2000"""
+
+
+@query("op13_phrase_mining", OP13_SQL)
+def op13(spark, sf):
+    """The 2,000 strongest phrases of two and three words of each language."""
+    return phrases.collocations(common.table(spark, sf, "documents"), longest=3, least=10, covered=(50, 100), first=2000)
