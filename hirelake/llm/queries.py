@@ -16,6 +16,7 @@ from hirelake.llm import (
     jaccard_join,
     near_search,
     packing,
+    personal_data,
     phrases,
     secrets,
     substring_dedup,
@@ -153,6 +154,16 @@ def op11(spark, sf):
     return conversations.repair(conversations.damaged(given), ids=given)
 
 
+@query("op12_personal_data")
+def op12(spark, sf):
+    """Base kinds by pattern, further identifiers by the contexts that those induce."""
+    spans = F.col("spans")
+    return personal_data.find(common.table(spark, sf, "documents")).select(
+        "doc_id", *[F.size(_of_kinds(spans, [k])).cast("long").alias(f"n_{k}") for k in personal_data.BASE],
+        F.sha2(_joined(_of_kinds(spans, personal_data.BASE)), 256).alias("base_sha256"), _joined(spans).alias("spans"),
+    )
+
+
 OP13_SQL = """
 WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
