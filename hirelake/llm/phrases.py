@@ -228,7 +228,8 @@ def _counts(docs: DataFrame, salt: int, longest: int, filters, least: int) -> Da
 
     schema = f"k int, {', '.join(f'{n} bigint' for n in names)}, lang string, word string, many bigint"
     counted = docs.select(F.col("text"), F.col("lang")).mapInArrow(run, schema)
-    counted = counted.groupBy("k", *names, "lang", "word").agg(F.sum("many").alias("many"))
+    # Tasks have added up already: dealt out before, not after, what Spark adds up within a task.
+    counted = counted.repartition(*names).groupBy("k", *names, "lang", "word").agg(F.sum("many").alias("many"))
     return counted.where((F.col("k") <= (0 if sample else 1)) | (F.col("many") >= least))
 
 
