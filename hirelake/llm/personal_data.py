@@ -22,6 +22,8 @@ ROUNDS = 4
 LEAST_DIGITS, MOST_CHARACTERS = 4, 128
 #: Characters before and after a slot that its contexts are read from.
 CONTEXT_CHARACTERS = 128
+#: One document in so many is looked at first, to see which contexts are far too frequent.
+FIRST_COUNTED = 16
 #: Contexts that are sent to every executor at most; more are joined by a shuffle.
 SENT_WHOLE = 200_000
 
@@ -178,14 +180,18 @@ def bootstrap(docs: DataFrame, seen: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(context id, kind, context, score of the trusted contexts; identifier, kind, score of the trusted identifiers) from `occurrences`."""
     edges = seen.select("identifier", "kind", F.explode("contexts").alias("c")).groupBy("identifier", "kind", F.col("c.id").alias("id"), F.col("c.context").alias("context"))
     edges = common.stored(edges.agg(F.count(F.lit(1)).alias("n")), "context-edges")
-    open_ = edges.groupBy("id").agg(F.count(F.lit(1)).alias("different"), F.count("kind").alias("seeds")).where(f"different >= {SUPPORT}").select("id")
-    open_ = common.stored(open_, "contexts")
+    # slots of several words are not among the single words between two others
     spaced = F.when((F.locate(" ", F.col("identifier")) > 0) & F.col("context").contains(" _ "), F.col("n")).otherwise(0)
-    graph = edges.join(open_, "id").withColumn("spaced", spaced)  # slots of several words are not among the single words between two others
-    everywhere = _everywhere(docs, open_)
-    totals = graph.groupBy("id").agg(F.sum("spaced").alias("spaced")).join(everywhere, "id", "left")
+    open_ = edges.groupBy("id").agg(F.count(F.lit(1)).alias("different"), F.sum("n").alias("slots"), F.sum(spaced).alias("spaced"))
+    open_ = common.stored(open_.where(f"different >= {SUPPORT}").select("id", "slots", "spaced"), "contexts")
+    # a context that occurs too often in a part of the documents alone is none in all of them, and need not be counted there
+    some = docs.where(F.pmod(F.xxhash64("text"), F.lit(FIRST_COUNTED)) == 0)
+    first = open_.join(_everywhere(some, open_.select("id")), "id", "left")
+    share = (F.col("spaced") + F.coalesce("everywhere", F.lit(0))) * CONTEXT_FROM <= F.col("slots")
+    open_ = common.stored(first.where(share).select("id", "spaced"), "contexts")
+    totals = open_.join(_everywhere(docs, open_.select("id")), "id", "left")
     totals = totals.select("id", F.greatest(F.lit(1), F.col("spaced") + F.coalesce("everywhere", F.lit(0))).alias("everywhere"))
-    graph = common.stored(graph.drop("spaced").join(totals, "id"), "context-graph")
+    graph = common.stored(edges.join(totals, "id"), "context-graph")
 
     seeds = graph.where("kind IS NOT NULL").select("identifier", "kind", F.lit(1.0).alias("score")).distinct()
     seeds = trusted = common.stored(seeds, "identifiers")
