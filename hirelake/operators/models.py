@@ -13,24 +13,24 @@ from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark import inheritable_thread_target
-from pyspark.ml import Estimator, PipelineModel, Transformer
-from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, OneVsRest, OneVsRestModel
+from pyspark.ml import PipelineModel, Transformer
+from pyspark.ml.classification import LinearSVC, LinearSVCModel, LogisticRegressionModel, OneVsRestModel
 from pyspark.ml.feature import (
     CountVectorizerModel, ElementwiseProduct, NGram, Normalizer, RegexTokenizer, SQLTransformer, StopWordsRemover,
     VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import DenseMatrix, Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.stat import Summarizer
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable, Identifiable
+from pyspark.ml.wrapper import JavaWrapper
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hirelake.functions import fixed, skills, text
 from hirelake.functions.vectors import SublinearTf
-from hirelake.operators import evaluation, features, folds, stats, tfidf
-from hirelake.session import spread
+from hirelake.operators import blocks, boosting, evaluation, features, folds, linear, stats, tfidf
 from hirelake.sources.stages import materialize
 
 # ---------------------------------------------------------------- preprocessing
@@ -164,47 +164,71 @@ def fit_preprocessor(train: DataFrame, key: str = "job_id", max_features: int =
 
 @dataclass
 class Candidate:
-    """A kind of classifier: how to make it for n rows, and how many terms it gets."""
+    """A kind of classifier, and how many terms it gets. `learn` fits several settings on the learning rows of several folds at once."""
 
-    make: object
+    learn: object
     params: dict
     grid: dict[str, list]
     max_features: int = 20_000
 
 
-TOLERANCE = 1e-4
+def _logistic_model(coefficients: np.ndarray) -> LogisticRegressionModel:
+    weights, classes = coefficients[:-1].T, coefficients.shape[1]
+    matrix = DenseMatrix(classes, weights.shape[1], weights.ravel().tolist(), isTransposed=True)
+    made = JavaWrapper._new_java_obj(
+        "org.apache.spark.ml.classification.LogisticRegressionModel", Identifiable()._randomUID(), matrix, Vectors.dense(coefficients[-1]), classes, True
+    )
+    return LogisticRegressionModel(made)
 
 
-def _logistic(n: float, C: float, max_iter: int) -> Estimator:
-    # The same objective as a loss summed with factor C next to half the squared weights.
-    return LogisticRegression(
-        family="multinomial", regParam=1.0 / (C * n), elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=TOLERANCE,
-        weightCol="weight", featuresCol="features", labelCol="label",
-    )
+def _svm_model(coefficients: np.ndarray) -> OneVsRestModel:
+    kind = "org.apache.spark.ml.classification.LinearSVCModel"
+    made = [JavaWrapper._new_java_obj(kind, Identifiable()._randomUID(), Vectors.dense(c[:-1]), float(c[-1])) for c in coefficients.T]
+    return OneVsRestModel([LinearSVCModel(m) for m in made])._set(featuresCol="features", labelCol="label", classifier=LinearSVC())
 
 
-def _svm(n: float, C: float, max_iter: int) -> Estimator:
-    one = LinearSVC(regParam=1.0 / (C * n), standardization=False, maxIter=max_iter, tol=TOLERANCE, weightCol="weight")
-    return OneVsRest(classifier=one, weightCol="weight", featuresCol="features", labelCol="label", parallelism=3)
+class _Linear:
+    """Linear classifiers of all folds and penalties as one matrix."""
 
+    def __init__(self, loss, to_model, penal_intercept: bool):
+        self.loss, self.to_model, self.penal_intercept = loss, to_model, penal_intercept
 
-def _boosted(n: float, max_depth: int, rounds: int, rate: float, seed: int = 42) -> Estimator:
-    one = GBTClassifier(
-        maxIter=rounds, stepSize=rate, maxDepth=max_depth, subsamplingRate=fixed.BOOSTED_SAMPLE,
-        featureSubsetStrategy=fixed.BOOSTED_COLUMNS, weightCol="weight", seed=seed,
-    )
-    return OneVsRest(classifier=one, weightCol="weight", featuresCol="features", labelCol="label", parallelism=3)
+    def fit(self, rows, sizes: dict, settings: list[dict], classes: int) -> dict[tuple[int, int], tuple[object, bool]]:
+        """(setting, fold) to what was learnt, and whether it converged."""
+        out = {}
+        for limit in {s["max_iter"] for s in settings}:
+            asked = {(i, f): linear.Problem(f, s["C"]) for i, s in enumerate(settings) if s["max_iter"] == limit for f in sizes}
+            found = linear.solve(rows, list(dict.fromkeys(asked.values())), sizes, self.loss, classes, limit, self.penal_intercept)
+            out |= {k: (found[p].coefficients, found[p].converged) for k, p in asked.items()}
+        return out
+
+    def confusion(self, rows, learnt: dict, classes: int) -> dict:
+        problems = {linear.Problem(f, float(i)): w for (i, f), (w, _) in learnt.items()}
+        return {(int(p.C), p.fold): c for p, c in linear.confusion(rows, problems, classes).items()}
 
 
-_MAKERS = {"Logistic Regression": _logistic, "Linear SVM": _svm, "Boosted Trees": _boosted}
-CANDIDATES = {n: Candidate(make, fixed.CLASSIFIER_SETTINGS[n], fixed.CLASSIFIER_GRIDS[n], fixed.MAX_TERMS[n]) for n, make in _MAKERS.items()}
+class _Boosted:
+    """Boosted trees: the folds of one setting at once, settings one after the other."""
 
+    def fit(self, rows, sizes: dict, settings: list[dict], classes: int) -> dict[tuple[int, int], tuple[object, bool]]:
+        out = {}
+        for i, s in enumerate(settings):
+            grown = boosting.grow(rows, sizes, classes, s["rounds"], s["max_depth"], s["rate"], fixed.BOOSTED_SAMPLE, float(fixed.BOOSTED_COLUMNS))
+            out |= {(i, f): (trees, True) for f, trees in grown.items()}
+        return out
 
-def reached_limit(model, limit: int | None) -> bool:
-    """Whether an optimiser stopped at its limit of passes before it converged."""
-    parts = model.models if isinstance(model, OneVsRestModel) else [model]
-    summaries = [p.summary() if callable(getattr(p, "summary", None)) else getattr(p, "summary", None) for p in parts]
-    return limit is not None and any(getattr(s, "totalIterations", 0) >= limit for s in summaries if s is not None)
+    def confusion(self, rows, learnt: dict, classes: int) -> dict:
+        return boosting.confusion(rows, {k: trees for k, (trees, _) in learnt.items()}, classes)
+
+    to_model = staticmethod(boosting.BoostedTreesModel.of)
+
+
+_LEARNERS = {
+    "Logistic Regression": _Linear(linear.softmax_loss, _logistic_model, penal_intercept=False),
+    "Linear SVM": _Linear(linear.squared_hinge_loss, _svm_model, penal_intercept=True),
+    "Boosted Trees": _Boosted(),
+}
+CANDIDATES = {n: Candidate(learn, fixed.CLASSIFIER_SETTINGS[n], fixed.CLASSIFIER_GRIDS[n], fixed.MAX_TERMS[n]) for n, learn in _LEARNERS.items()}
 
 
 def label_index(label: str, classes: list[str]) -> Column:
@@ -233,14 +257,7 @@ class SeniorityModel:
         return out.select(*columns)
 
     def _probabilities(self, out: DataFrame) -> Column | None:
-        if "probability" in out.columns:
-            return vector_to_array("probability")
-        if not isinstance(self.classifier.getClassifier(), GBTClassifier):
-            return None
-        # One boosted model per class; its margin is half the log-odds.
-        odds = F.transform(vector_to_array("rawPrediction"), lambda m: 1 / (1 + F.exp(-2 * m)))
-        total = F.aggregate(odds, F.lit(0.0), lambda a, x: a + x)
-        return F.transform(odds, lambda p: p / total)
+        return vector_to_array("probability") if "probability" in out.columns else None
 
     def transform(self, postings: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         """Predictions from title, description and company_name."""
@@ -288,12 +305,29 @@ def fit(
     params = {**candidate.params, **(params or {})}
     terms = params.pop("max_features", candidate.max_features)
     prepared = prepared or fit_preprocessor(train, key, terms, min_df)
-    weighted = features.with_balanced_weight(train, label, classes).withColumn("label", label_index(label, classes))
-    vectors = materialize(prepared.model.transform(weighted).select("label", "weight", "features"), "train")
-    model = candidate.make(float(vectors.count()), **params).fit(spread(vectors))
-    if reached_limit(model, params.get("max_iter")):
+    rows = blocks.blocks_of(_vectors(train, prepared, 0, label, classes))
+    try:
+        learnt, converged = candidate.learn.fit(rows, _sizes(rows), [params], len(classes))[0, 0]
+    finally:
+        rows.unpersist()
+    if not converged:
         warnings.warn(f"{name} stopped after {params['max_iter']} passes without having converged", stacklevel=2)
-    return SeniorityModel(prepared.model, model, classes, prepared.names, include_title, key)
+    return SeniorityModel(prepared.model, candidate.learn.to_model(learnt), classes, prepared.names, include_title, key)
+
+
+def _vectors(train: DataFrame, prepared: Preprocessor, fold: int, label: str, classes: list[str], held_out: DataFrame | None = None) -> DataFrame:
+    """fold, learn, label, weight, features of the rows to learn from, and of those to be judged."""
+    rows = features.with_balanced_weight(train, label, classes).withColumn("learn", F.lit(True))
+    if held_out is not None:
+        rows = rows.unionByName(held_out.withColumn("weight", F.lit(0.0)).withColumn("learn", F.lit(False)))
+    rows = prepared.model.transform(rows.withColumn("label", label_index(label, classes)))
+    return rows.select(F.lit(fold).alias("fold"), "learn", "label", "weight", "features")
+
+
+def _sizes(rows) -> dict[int, tuple[int, int]]:
+    """Features and learning rows of each fold."""
+    count = blocks.added(rows, lambda b: {b.fold: np.array([b.size if b.learn else 0, len(b) if b.learn else 0, 1 if b.learn else 0])})
+    return {f: (int(size // parts), int(n)) for f, (size, n, parts) in count.items()}
 
 
 # ---------------------------------------------------------------- selection
@@ -305,22 +339,52 @@ def macro_f1_and_balanced(predictions: DataFrame, classes: list[str]) -> tuple[f
     return found["macro_f1"], found["balanced_accuracy"]
 
 
-def cross_validate(
-    train: DataFrame, name: str, params: dict | None = None, label: str = "seniority", classes: list[str] = fixed.CLASSES,
-    fold: str = "cv_fold", n_folds: int = fixed.CV_FOLDS, parallelism: int = 1, **fit_args,
-) -> list[tuple[float, float]]:
-    """(macro F1, balanced accuracy) of each fold; everything is fitted again per fold.
+def scores_of(confusion: np.ndarray) -> tuple[float, float]:
+    """(macro F1, balanced accuracy) of actual x predicted counts: as `evaluate`, over the classes that occur (F1: in either; accuracy: as actual)."""
+    hit, actual, told = np.diag(confusion), confusion.sum(axis=1), confusion.sum(axis=0)
+    f1 = 2 * hit / np.maximum(actual + told, 1)
+    return float(f1[actual + told > 0].mean()), float((hit[actual > 0] / actual[actual > 0]).mean())
 
-    `train` should be a written table. With `parallelism` folds are fitted side by side.
-    """
 
-    def one(i: int) -> tuple[float, float]:
-        model = fit(train.where(F.col(fold) != i), name, params, label, classes, **fit_args)
-        held_out = model.predict(train.where(F.col(fold) == i), (label,)).withColumnRenamed(label, "actual")
-        return macro_f1_and_balanced(held_out, classes)
+def cross_validate_all(
+    train: DataFrame, name: str, settings: list[dict], label: str = "seniority", classes: list[str] = fixed.CLASSES,
+    fold: str = "cv_fold", n_folds: int = fixed.CV_FOLDS, parallelism: int = 1, key: str = "job_id", min_df: int = 5,
+) -> list[list[tuple[float, float]]]:
+    """(macro F1, balanced accuracy) of each fold, for each of several settings of a classifier; everything is fitted again per fold.
 
-    with ThreadPoolExecutor(parallelism) as pool:
-        return list(pool.map(inheritable_thread_target(train.sparkSession)(one), range(n_folds)))
+    `train` should be a written table. Vocabularies, medians and scales are learnt once for each fold and number of terms, side by side
+    with `parallelism`; then the classifiers of all folds and settings are fitted together, and judged together.
+    """
+    candidate = CANDIDATES[name]
+    full = [{**candidate.params, "max_features": candidate.max_features, **s} for s in settings]
+    out: list = [None] * len(settings)
+
+    def prepared(i: int, terms: int) -> DataFrame:
+        learn, held_out = train.where(F.col(fold) != i), train.where(F.col(fold) == i)
+        return materialize(_vectors(learn, fit_preprocessor(learn, key, terms, min_df), i, label, classes, held_out), "fold-vectors")
+
+    for terms in dict.fromkeys(s["max_features"] for s in full):
+        of_fold = inheritable_thread_target(train.sparkSession)(lambda i, terms=terms: prepared(i, terms))
+        with ThreadPoolExecutor(parallelism) as pool:
+            parts = list(pool.map(of_fold, range(n_folds)))
+        every = parts[0]
+        for part in parts[1:]:
+            every = every.unionByName(part)
+        rows = blocks.blocks_of(every)
+        at = [i for i, s in enumerate(full) if s["max_features"] == terms]
+        try:
+            learnt = candidate.learn.fit(rows, _sizes(rows), [full[i] for i in at], len(classes))
+            judged = candidate.learn.confusion(rows, learnt, len(classes))
+        finally:
+            rows.unpersist()
+        for k, i in enumerate(at):
+            out[i] = [scores_of(judged[k, f]) for f in range(n_folds)]
+    return out
+
+
+def cross_validate(train: DataFrame, name: str, params: dict | None = None, **cv_args) -> list[tuple[float, float]]:
+    """(macro F1, balanced accuracy) of each fold of one setting."""
+    return cross_validate_all(train, name, [params or {}], **cv_args)[0]
 
 
 SCORES = "model string, params string, fold int, metric string, value double"
@@ -329,10 +393,12 @@ SCORES = "model string, params string, fold int, metric string, value double"
 def fold_scores(train: DataFrame, tries: list[tuple[str, dict]], **cv_args) -> DataFrame:
     """model, params, fold, metric, value: the cross-validated scores of several classifiers or settings."""
     rows = []
-    for name, params in tries:
-        for fold, (f1, accuracy) in enumerate(cross_validate(train, name, params, **cv_args)):
-            told = (name, json.dumps(params, sort_keys=True), fold)
-            rows += [(*told, "macro_f1", f1), (*told, "balanced_accuracy", accuracy)]
+    for name in dict.fromkeys(n for n, _ in tries):
+        settings = [params for n, params in tries if n == name]
+        for params, scores in zip(settings, cross_validate_all(train, name, settings, **cv_args)):
+            for fold, (f1, accuracy) in enumerate(scores):
+                told = (name, json.dumps(params, sort_keys=True), fold)
+                rows += [(*told, "macro_f1", f1), (*told, "balanced_accuracy", accuracy)]
     return train.sparkSession.createDataFrame(rows, SCORES)
 
 
