@@ -1,6 +1,6 @@
 """Multiclass boosted trees on histograms, for several folds at once.
 
-Each feature is cut at quantiles of its values. A round grows one tree for each class, level by level: one job adds up the sums of gradients and
+Each feature is cut at quantiles of its values. A round grows one tree for each class, level by level: an aggregate adds up the sums of gradients and
 Hessians of the softmax loss by (fold, class, node, feature, bin) and gives the best split of each node; only splits reach the driver. Executors keep the margins
 and the places of their rows between jobs; where those are lost, they are made again from the trees so far, which alone decide them.
 """
@@ -23,8 +23,9 @@ from hirelake.operators.blocks import Block, added, sparse
 
 #: Bins of a feature at most, cells that its quantiles are read from, penalty of a leaf's value, and least Hessian of a node.
 BINS, CELLS, PENALTY, LEAST_HESSIAN = 16, 256, 1.0, 1.0
-#: Rows of a fold that are dealt to one task at most, so that its histograms need no shuffle.
-ROWS_TOGETHER = 50_000
+#: Rows of a fold that are dealt to one task at most: its sums need no exchange then, so it grows so many rounds before it answers. With more
+#: rows each level of each round is one aggregate over all tasks; the trees are the same.
+ROWS_TOGETHER, ROUNDS_A_JOB = 50_000, 25
 SEED = 42
 
 
@@ -234,61 +235,97 @@ def grow(rows, sizes: dict[int, tuple[int, int]], classes: int, rounds: int, dep
 
     held_rows = learning.mapPartitionsWithIndex(binned).persist(StorageLevel.MEMORY_AND_DISK)
     done: list = []
-    for round_ in range(rounds):
-        current = {f: [Tree.of_depth(depth) for _ in range(classes)] for f in sizes}
-        open_ = {(f, c): np.array([0]) for f in sizes for c in range(classes)}
-        for level in range(depth):
 
-            def sums_of(blocks, round_=round_, level=level, current=current, open_=open_):
-                if run not in _HELD:
-                    _HELD.clear()
-                    _HELD[run] = {}
-                out: dict = {}
-                for b in blocks:
-                    own = _HELD[run].get(b.name)
-                    if own is None or own.round_ > round_ or (own.round_ == round_ and own.level > level):
-                        own = _HELD[run][b.name] = _Held(b, classes)
-                    own.brought_to(b, done, current[b.fold], round_, level, depth)
-                    sampled = np.random.default_rng([SEED, 1, round_, b.fold, *b.name]).random(len(b.labels)) < sample
-                    for c in range(classes):
-                        if len(nodes := open_.get((b.fold, c), ())):
-                            chosen = _drawn(len(b.starts) - 1, columns, round_, c, b.fold)
-                            found = _sums(b, own, c, level, nodes, chosen, sampled)
-                            key = (b.fold, c)
-                            out[key] = out[key] + found if key in out else found
-                return iter(out.items())
-
-            def best(item, round_=round_):
-                (f, c), sums = item
-                return (f, c), _best(sums, _drawn(sizes[f][0], columns, round_, c, f))
-
-            sums = held_rows.mapPartitions(sums_of)
-            sums = sums if together else sums.reduceByKey(lambda a, b: a + b, len(open_))
-            found = dict(sums.map(best).collect())
-            following = {}
-            for (f, c), nodes in open_.items():
-                tree, split = current[f][c], []
-                for index, (gain, feature, cut, left_g, left_h, g, h) in zip(nodes, found.get((f, c), ())):
-                    node = 2**level - 1 + index
-                    if level == 0:
-                        tree.value[0] = -rate * g / (h + PENALTY)
-                    if not gain > 1e-6:
-                        continue
-                    tree.feature[node], tree.cut[node] = feature, cut
-                    for child, (cg, ch) in ((2 * node + 1, (left_g, left_h)), (2 * node + 2, (g - left_g, h - left_h))):
-                        tree.value[child] = -rate * cg / (ch + PENALTY)
-                        if ch >= 2 * LEAST_HESSIAN:
-                            split.append(child - (2 ** (level + 1) - 1))
-                if split:
-                    following[f, c] = np.array(split)
-            open_ = following
+    def summed(b: Binned, open_: dict, round_: int, level: int, current: dict, before: list) -> dict:
+        """(fold, class) to the sums of its open nodes over one block."""
+        if run not in _HELD:
+            _HELD.clear()
+            _HELD[run] = {}
+        own = _HELD[run].get(b.name)
+        if own is None or (own.round_, own.level) > (round_, level):
+            own = _HELD[run][b.name] = _Held(b, classes)
+        own.brought_to(b, before, current[b.fold], round_, level, depth)
+        sampled = np.random.default_rng([SEED, 1, round_, b.fold, *b.name]).random(len(b.labels)) < sample
+        asked = [c for c in range(classes) if (b.fold, c) in open_]
+        return {(b.fold, c): _sums(b, own, c, level, open_[b.fold, c], _drawn(len(b.starts) - 1, columns, round_, c, b.fold), sampled) for c in asked}
+
+    def best_of(key: tuple[int, int], sums: np.ndarray, round_: int) -> np.ndarray:
+        return _best(sums, _drawn(sizes[key[0]][0], columns, round_, key[1], key[0]))
+
+    def one_round(round_: int, folds_: list[int], found_at) -> dict[int, list[Tree]]:
+        """One tree for each class of each fold; `found_at` gives the best splits of the open nodes of a level."""
+        current = {f: [Tree.of_depth(depth) for _ in range(classes)] for f in folds_}
+        open_ = {(f, c): np.array([0]) for f in folds_ for c in range(classes)}
+        for level in range(depth):
+            found = found_at(open_, round_, level, current)
+            split = {(f, c): _split(current[f][c], level, nodes, found.get((f, c), ()), rate) for (f, c), nodes in open_.items()}
+            open_ = {k: np.array(nodes) for k, nodes in split.items() if nodes}
             if not open_:
                 break
-        done.append(context.broadcast(current))
+        return current
+
+    def over_all(open_, round_, level, current):
+        parts = held_rows.mapPartitions(lambda blocks: _added(summed(b, open_, round_, level, current, done) for b in blocks).items())
+        return dict(parts.reduceByKey(lambda a, b: a + b, len(open_)).map(lambda x: (x[0], best_of(*x, round_))).collect())
+
+    def rounds_here(blocks, first: int, last: int):
+        own = list(blocks)  # all rows of one fold
+        if not own:
+            return []
+        before = list(done)
+
+        def here(open_, round_, level, current):
+            sums = _added(summed(b, open_, round_, level, current, before) for b in own)
+            return {k: best_of(k, x, round_) for k, x in sums.items()}
+
+        for round_ in range(first, last):
+            before.append(_Here(one_round(round_, [own[0].fold], here)))
+        return [(own[0].fold, [x.value[own[0].fold] for x in before[first:]])]
+
+    for first in range(0, rounds, ROUNDS_A_JOB if together else 1):
+        last = min(rounds, first + ROUNDS_A_JOB)
+        if together:
+            of_fold = dict(held_rows.mapPartitions(lambda blocks, first=first, last=last: rounds_here(blocks, first, last)).collect())
+            made = [{f: trees[i] for f, trees in of_fold.items()} for i in range(last - first)]
+        else:
+            made = [one_round(first, list(sizes), over_all)]
+        done += [context.broadcast(m) for m in made]
     held_rows.unpersist()
     return {f: Trees.of([d.value[f] for d in done], edges[f]) for f in sizes}
 
 
+@dataclass
+class _Here:
+    """Trees of a round that the task itself has grown, in the shape of broadcast ones."""
+
+    value: dict[int, list[Tree]]
+
+
+def _added(parts) -> dict:
+    out: dict = {}
+    for part in parts:
+        for key, sums in part.items():
+            out[key] = out[key] + sums if key in out else sums
+    return out
+
+
+def _split(tree: Tree, level: int, nodes: np.ndarray, found, rate: float) -> list[int]:
+    """Puts the best splits into a tree; the children that may be split further, by their place in the next level."""
+    split = []
+    for index, (gain, feature, cut, left_g, left_h, g, h) in zip(nodes, found):
+        node = 2**level - 1 + index
+        if level == 0:
+            tree.value[0] = -rate * g / (h + PENALTY)
+        if not gain > 1e-6:
+            continue
+        tree.feature[node], tree.cut[node] = feature, cut
+        for child, (cg, ch) in ((2 * node + 1, (left_g, left_h)), (2 * node + 2, (g - left_g, h - left_h))):
+            tree.value[child] = -rate * cg / (ch + PENALTY)
+            if ch >= 2 * LEAST_HESSIAN:
+                split.append(child - (2 ** (level + 1) - 1))
+    return split
+
+
 # ------------------------------------------------------------------- applying
 
 
