@@ -4,8 +4,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.ml import PipelineModel
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.clustering import KMeansModel
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -13,9 +12,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hirelake.functions import text
-from hirelake.operators import lsa
+from hirelake.operators import kmeans, lsa
 from hirelake.session import spread
 
+#: Rows of the silhouette of a scan.
+SILHOUETTE_ROWS = 4_000
+
 
 def top_titles(mart: DataFrame, top: int = 4, by: str = "cluster") -> DataFrame:
     """The most common titles of each cluster, joined by "; "."""
@@ -70,10 +72,20 @@ def require_names(terms: DataFrame, names: DataFrame, by: str = "cluster") -> No
         raise ValueError(f"clusters that no longer fit their names: {sorted(r[by] for r in wrong)}")
 
 
-def silhouette(df: DataFrame, vector: str, by: str) -> float:
-    """Silhouette (of squared distances, over all rows) of a given assignment of array vectors."""
-    made = df.select(array_to_vector(F.col(vector).cast("array<double>")).alias("v"), F.col(by).cast("int").alias("c"))
-    return ClusteringEvaluator(featuresCol="v", predictionCol="c").evaluate(made)
+def silhouette(df: DataFrame, vector: str, by: str) -> DataFrame:
+    """by, size, silhouette (the mean of its rows) of each cluster of a given assignment, by Euclidean distances between all rows."""
+    codes = df.select(by).distinct().withColumn("_code", F.row_number().over(Window.orderBy(by)) - 1)  # one row a cluster
+    coded = df.join(codes, df[by].eqNullSafe(codes[by])).select(vector, "_code")
+    blocks = kmeans.dense_blocks(coded, vector, "_code")
+    try:
+        clusters = codes.count()
+
+        scored = kmeans.silhouettes(blocks, [0], [clusters]).join(blocks.keyBy(lambda b: b[0]))
+        sums = scored.flatMap(lambda x: [(int(c), (float(x[1][0][0][x[1][1][2][0] == c].sum()), int((x[1][1][2][0] == c).sum()))) for c in np.unique(x[1][1][2][0])])
+        found = sums.reduceByKey(lambda a, b: (a[0] + b[0], a[1] + b[1])).map(lambda x: (x[0], x[1][1], x[1][0] / x[1][1])).collect()  # one row a cluster
+    finally:
+        blocks.unpersist()
+    return codes.join(df.sparkSession.createDataFrame(found, "_code int, size long, silhouette double"), "_code").drop("_code")
 
 
 def name_by_signature(terms: DataFrame, signatures: DataFrame, by: str = "cluster") -> DataFrame:
@@ -97,29 +109,27 @@ def _stretches(term: str) -> Column:
 # ---------------------------------------------------------------- finding clusters
 
 
-def best_kmeans(vectors: DataFrame, k: int, inits: int = 10, seed: int = 42, features: str = "z"):
-    """The KMeans model with the lowest training cost of several starts. `vectors` should be a written table."""
-    best = None
-    vectors = spread(vectors)
-    for i in range(inits):
-        model = KMeans(k=k, seed=seed + i, featuresCol=features, predictionCol="cluster").fit(vectors)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    return best
+def best_kmeans(vectors: DataFrame, k: int, inits: int = 10, seed: int = 42, features: str = "z") -> KMeansModel:
+    """The model with the lowest cost of several starts. `vectors` should be a written table."""
+    return kmeans.to_model(kmeans.best_of_starts(vectors, [k], inits, seed, features)[k][0], features)
 
 
-def scan_k(vectors: DataFrame, ks: range = range(4, 16), inits: int = 10, seed: int = 42, features: str = "z") -> list[dict]:
-    """Cost and silhouette for each number of clusters, over all rows.
+def scan_k(
+    vectors: DataFrame, ks: range = range(4, 16), inits: int = 10, seed: int = 42, features: str = "z", sample: int | None = SILHOUETTE_ROWS
+) -> list[dict]:
+    """Cost over all rows and Euclidean silhouette for each number of clusters.
 
-    The silhouette is Spark's, of squared distances: good for ranking the ks.
+    The silhouette is that of `sample` rows (those of the smallest hashes) by their distances among each other, or of all rows where it is None.
     """
-    judge = ClusteringEvaluator(featuresCol=features, predictionCol="cluster")
-    rows = []
-    for k in ks:
-        model = best_kmeans(vectors, k, inits, seed, features)
-        silhouette = judge.evaluate(model.transform(vectors))
-        rows.append({"k": k, "inertia": float(model.summary.trainingCost), "silhouette": float(silhouette)})
-    return rows
+    ks = list(ks)
+    found = kmeans.best_of_starts(vectors, ks, inits, seed, features)
+    if sample is not None:
+        rows = kmeans.start_rows(vectors, features, sample).tolist()
+        vectors = vectors.sparkSession.createDataFrame([(r,) for r in rows], f"{features} array<double>")
+    blocks = kmeans.dense_blocks(vectors, features)
+    scores = kmeans.mean_silhouettes(blocks, [found[k][0] for k in ks], ks)
+    blocks.unpersist()
+    return [{"k": k, "inertia": found[k][1], "silhouette": s} for k, s in zip(ks, scores)]
 
 
 @dataclass

@@ -201,6 +201,18 @@ def l2_normalize(spark, sf):
     return unit.withColumn("value", F.round("value", 6))
 
 
+@query("silhouette_by_label", """
+WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+sizes AS (SELECT label AS other, count(*) AS n FROM e GROUP BY label),
+sums AS (SELECT a.vec_id, a.label, b.label AS other, sum(list_distance(a.v, b.v)) AS total FROM e a, e b GROUP BY ALL),
+means AS (SELECT vec_id, label, max(CASE WHEN label = other THEN n END) AS own,
+    max(CASE WHEN label = other THEN total / greatest(n - 1, 1) END) AS a, min(CASE WHEN label <> other THEN total / n END) AS b
+    FROM sums JOIN sizes USING (other) GROUP BY vec_id, label)
+SELECT label, count(*) AS size, round(avg(CASE WHEN own = 1 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM means GROUP BY label""")
+def silhouette_by_label(spark, sf):
+    return clustering.silhouette(table(spark, sf, "embeddings"), "embedding", "label").withColumn("silhouette", F.round("silhouette", 6))
+
+
 @query("inertia_by_label", """
 SELECT label, CAST(count(DISTINCT vec_id) AS BIGINT) AS size, round(sum((v - m) * (v - m)), 6) AS inertia FROM (
     SELECT label, vec_id, v, avg(v) OVER (PARTITION BY label, i) AS m FROM (

@@ -8,8 +8,6 @@ import pytest
 import __spark_entry__ as entry
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-# Long fits; tests/test_models.py and the fact queries cover what they do.
-LONG = {"cv_compare", "cv_facts", "grid_search", "k_scan"}
 
 
 @pytest.fixture(scope="module")
@@ -17,12 +15,12 @@ def con():
     return compare.connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.oracle_sql()) - LONG))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_equals_sql(spark, con, name):
     assert compare.differences(entry.queries()[name](spark, FOLDER), con, entry.oracle_sql()[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql()) - LONG))
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
 def test_gives_rows_of_its_schema(spark, name):
     df = entry.queries()[name](spark, FOLDER)
     rows = df.collect()

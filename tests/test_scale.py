@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 
 from hirelake.functions import fixed
-from hirelake.operators import cleaning, clustering, folds, stats
+from hirelake.operators import cleaning, clustering, folds, kmeans, stats
 
 
 def test_numbers_order_as_doubles(spark):
@@ -73,14 +73,46 @@ def test_names_that_no_longer_fit_stop_the_run(spark):
         clustering.require_names(terms, names)
 
 
-def test_silhouette_of_given_labels(spark):
-    points = np.random.default_rng(2).normal(size=(60, 3)) + np.repeat([[0, 0, 0], [5, 0, 0], [0, 6, 1]], 20, axis=0)
-    labels = np.repeat([0, 1, 2], 20)
-    df = spark.createDataFrame([(p.tolist(), int(c)) for p, c in zip(points, labels)], "v array<double>, c int")
-    far = ((points[:, None] - points[None]) ** 2).sum(axis=2)
+def plain_silhouettes(points, labels):
+    far = np.sqrt(((points[:, None] - points[None]) ** 2).sum(axis=2))
     scores = []
     for i, c in enumerate(labels):
-        own = far[i][labels == c].sum() / 19
-        other = min(far[i][labels == k].mean() for k in range(3) if k != c)
-        scores.append((other - own) / max(own, other))
-    assert clustering.silhouette(df, "v", "c") == pytest.approx(np.mean(scores), abs=1e-6)
+        own = far[i][labels == c].sum() / max(1, (labels == c).sum() - 1)
+        other = min(far[i][labels == k].mean() for k in set(labels.tolist()) - {c})
+        scores.append((other - own) / max(own, other) if (labels == c).sum() > 1 else 0.0)
+    return np.array(scores)
+
+
+def test_silhouette_of_given_labels(spark, monkeypatch):
+    monkeypatch.setattr(kmeans, "BLOCK_ROWS", 7)
+    points = np.random.default_rng(2).normal(size=(61, 3)) + np.vstack([np.repeat([[0, 0, 0], [5, 0, 0], [0, 6, 1]], 20, axis=0), [[9, 9, 9]]])
+    labels = np.append(np.repeat([4, 1, 2], 20), 7)
+    df = spark.createDataFrame([(p.tolist(), int(c), "x") for p, c in zip(points, labels)], "v array<double>, c int, _other string").repartition(3)
+    got = {r["c"]: (r["size"], r["silhouette"]) for r in clustering.silhouette(df, "v", "c").collect()}
+    scores = plain_silhouettes(points, labels)
+    assert set(got) == {1, 2, 4, 7}
+    for c, (size, score) in got.items():
+        assert size == (labels == c).sum() and score == pytest.approx(scores[labels == c].mean())
+
+
+def test_all_sets_at_once_equal_sets_alone(spark):
+    points = np.random.default_rng(3).normal(size=(200, 4)) + np.repeat(np.eye(4) * 6, 50, axis=0)
+    df = spark.createDataFrame([(p.tolist(),) for p in points], "z array<double>").repartition(4)
+    blocks, sample = kmeans.dense_blocks(df, "z"), kmeans.start_rows(df, "z", 64)
+    sets = [(k, s) for k in (2, 4, 5) for s in (1, 2, 3)]
+    together = kmeans.fit_all(blocks, sample, sets)
+    for s in sets:
+        centres, cost = kmeans.fit_all(blocks, sample, [s])[s]
+        assert together[s][0] == pytest.approx(centres) and together[s][1] == pytest.approx(cost)
+        gaps = ((points[:, None] - centres[None]) ** 2).sum(axis=2)
+        assert cost == pytest.approx(gaps.min(axis=1).sum())
+        if s[0] == 4:  # at rest: every centre is the mean of its rows
+            for i in range(4):
+                own = points[gaps.argmin(axis=1) == i]
+                assert not len(own) or np.abs(own.mean(axis=0) - centres[i]).max() < 0.05
+    best = min(together[4, s][1] for s in (1, 2, 3))
+    assert best < 200 * 4 * 1.2
+    scan = {r["k"]: r for r in clustering.scan_k(df, range(2, 5), inits=3, seed=1, sample=None)}
+    labels = ((points[:, None] - kmeans.best_of_starts(df, [4], 3, 1, "z")[4][0][None]) ** 2).sum(axis=2).argmin(axis=1)
+    assert scan[4]["silhouette"] == pytest.approx(plain_silhouettes(points, labels).mean())
+    assert scan[4]["inertia"] < scan[3]["inertia"] < scan[2]["inertia"]
