@@ -1,3 +1,6 @@
+import math
+from fractions import Fraction
+
 import numpy as np
 import pytest
 
@@ -31,7 +34,7 @@ def plain(rows, step, k, value, keep, score):
 
 
 def quantise(e):
-    return [int(np.floor(256 * np.float64(np.float32(x)))) for x in e]
+    return [math.floor(256 * Fraction(float(np.float32(x)))) for x in e]
 
 
 def dot(x, y):
@@ -40,9 +43,21 @@ def dot(x, y):
 
 def test_exact_odd(spark):
     df = frame(spark, ODD)
-    expected = plain(ODD, 50, 5, quantise, lambda x: dot(x, x) < 2**62, dot)
+    expected = plain(ODD, 50, 5, quantise, lambda x: True, within)
     assert ranked(exact_search.top_k(df.where("vec_id % 50 = 0"), df)) == expected
-    assert len(expected) > 5
+    assert len(expected) > 5 and 200 in {r[0] for r in expected}
+
+
+def within(x, y):
+    return min(max(dot(x, y), -(2**63)), 2**63 - 1)
+
+
+def test_long_vectors_have_their_scores(spark):
+    rows = [(50, [1e10, 0.0]), (2, [1e7, 0.0]), (1, [1.0, 1.0]), (100, [0.5, 0.5]), (3, [-1e10, 1.0]), (4, [1e30, 0.0]), (150, [3e38, -3e38]), (5, [2.0**51 + 1, 0.5])]
+    df = frame(spark, rows)
+    got = ranked(exact_search.top_k(df.where("vec_id % 50 = 0"), df))
+    assert got == plain(rows, 50, 5, quantise, lambda x: True, within)
+    assert [r[2] for r in got if r[0] == 100][:3] == [4, 5, 50] and {r[3] for r in got if r[0] == 50} >= {2**63 - 1}
 
 
 @pytest.mark.parametrize("least, held, asked", [(2048, 32768, 8192), (30, 64, 7)])
