@@ -1,9 +1,11 @@
 """Documents to packed training sequences: five stages, each written as Parquet and read again by the next.
 
 Each stage takes (spark, docs, sf_dir) and works on all documents its predecessor kept. All but the last
-return the columns of `documents`.
+return the columns of `documents`, whatever the names of those besides doc_id, text and n_chars.
 """
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,19 @@ SENT_WHOLE = 500_000
 ORACLE_SQL = None
 
 
+def apart(stage):
+    """A stage for which all columns but doc_id, text and n_chars have names of their own, so that none clashes with what the operators make."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        hidden = {c: c if c in ("doc_id", "text", "n_chars") else f"_given{i}" for i, c in enumerate(docs.columns)}
+        out = stage(spark, docs.select(*[docs[f"`{c}`"].alias(h) for c, h in hidden.items()]), sf_dir)
+        return out.select(*[F.col(h).alias(c) for c, h in hidden.items()])
+
+    return run
+
+
+@apart
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a network trained on the labelled ones does not find toxic; empty ones stay."""
     net = toxicity.fit(docs, common.table(spark, sf_dir, "labels"))
@@ -26,6 +41,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where((F.col("score") < TOXIC_FROM) | empty).select(*docs.columns)
 
 
+@apart
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by four fifths of their five-word shingles, the one of the smallest id.
 
@@ -53,12 +69,14 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return keyed.join(F.broadcast(removed) if few else removed, ["doc_id", "_key"], "left_anti").select(*docs.columns)
 
 
+@apart
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 35 words or more that occur more than once are cut out; texts without any stay as they are."""
     out = substring_dedup.remove_repeats(docs, WORDS_REPEATED, tuple(docs.columns))
     return _with_text(out, docs, F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text")))
 
 
+@apart
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by marks of their kind; texts without any stay as they are."""
     return _with_text(secrets.redacted(docs), docs, F.col("text"))
