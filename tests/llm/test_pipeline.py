@@ -107,3 +107,22 @@ def test_odd_and_empty(spark, odd, empty, name):
         ids = [r["doc_id"] for r in out.collect()]
         assert None in ids and 0 in ids
     assert stage(spark, empty, FOLDER).count() == 0
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_columns_of_clashing_names_stay_as_they_are(spark, name):
+    words = [f"w{i}" for i in range(200)]
+    texts = [" ".join(words[:120]), " ".join([*words[:119], "edit"]), " ".join([*words[130:190], *words[:40]]), "token=abcdefgh12 end", None, "toxic or not"]
+    names = ["kept", "n_words", "n_removed", "score", "_key", "key", "spans", "component", "component_id", "label", "window", "ids", "row", "_given0", "kept_sha256"]
+    rows = [(i, t, *[f"{c} {i}" for c in names]) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", *names])
+    plain = docs.select("doc_id", "text")
+    stage = dict(corpus_pipeline.STAGES)[name]
+    got = stage(spark, docs, FOLDER)
+    if name == "packing":
+        assert {r["doc_id"] for r in got.collect()} == {r[0] for r in rows}
+        return
+    assert got.columns == docs.columns
+    out = got.collect()
+    assert all(r[c] == f"{c} {r['doc_id']}" for r in out for c in names)
+    assert sorted((r["doc_id"], r["text"] or "") for r in out) == sorted((r["doc_id"], r["text"] or "") for r in stage(spark, plain, FOLDER).collect())
