@@ -499,3 +499,11 @@ ROLE_CLUSTERS, ROLE_RANGE, ROLE_STARTS, ROLE_DIMS = 10, (4, 15), 10, 100
 
 # A token of the term vectors.
 TOKEN_PATTERN = r"(?<![\w])[a-z][a-z0-9+#]*(?:\.[a-z]+)?"
+
+# A number of years, perhaps up to another one, and what must follow it.
+YEARS_NUMBER = r"(\d{1,2}|" + "|".join(NUMBER_WORDS) + ")"
+YEARS_PATTERN = YEARS_NUMBER + r"\s*(?:\(\d{1,2}\)\s*)?\+?\s*(?:(?:-|–|to)\s*" + YEARS_NUMBER + r"\s*\+?\s*)?(?:years?|yrs?\.?)"
+YEARS_FOLLOWED_BY = r"(?![a-z])(?=[^.;\n]{0,60}experience)"
+
+# What must not stand before and after a skill.
+SKILL_NOT_BEFORE, SKILL_NOT_AFTER = r"(?<![\w+#])", r"(?![\w+#])(?!\.[\w])"

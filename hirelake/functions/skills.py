@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 from hirelake.functions import fixed
 from hirelake.functions.text import WORD, literal_array, sql_literal
 
-EDGE_LEFT = rf"(?<![{WORD}+#])"
-EDGE_RIGHT = rf"(?![{WORD}+#])(?!\.[{WORD}])"
+EDGE_LEFT, EDGE_RIGHT = (edge.replace(r"\w", WORD) for edge in (fixed.SKILL_NOT_BEFORE, fixed.SKILL_NOT_AFTER))
 
 # A word, with the dot if the dot joins it to another word ("node." in "node.js").
 _WORDS = rf"[{WORD}+#]++(?:\.(?=[{WORD}]))?"

@@ -69,10 +69,13 @@ def skill_matrix(spark, sf):
     return features.skill_matrix(stages.job_skills(spark, sf))
 
 
-@query("skill_slug", r"""
-SELECT skill, postings, 'skill_' || regexp_replace(regexp_replace(
-    replace(replace(replace(lower(skill), '++', '_plus_plus'), '#', '_sharp'), '.', '_dot_'),
-    '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS slug
+_PLAIN = "lower(skill)"
+for _mark, _word in skills.SPELLED.items():
+    _PLAIN = f"replace({_PLAIN}, {sql.q(_mark)}, {sql.q(_word)})"
+
+
+@query("skill_slug", f"""
+SELECT skill, postings, 'skill_' || trim(regexp_replace({_PLAIN}, '[^a-z0-9]+', '_', 'g'), '_') AS slug
 FROM (SELECT skill, count(*) AS postings FROM job_skill GROUP BY skill)""")
 def skill_slug(spark, sf):
     counted = stages.job_skills(spark, sf).select(F.explode("skill_ids").alias("id")).groupBy("id")
