@@ -1,9 +1,13 @@
 """Documents with nearly equal sets of word shingles: a parity-sketch join.
 
-A set's sketch is cut into parts. Each shingle belongs to one part by its hash and flips one of the part's 64 bits, so sketches of
+A set's sketch is cut into parts. Each shingle belongs to one part by its hash and flips one of the part's 2^64 bits, so sketches of
 two sets differ in no more bits than the sets in shingles. Sets similar enough differ in at most `reach` shingles; with one
 part more than that, some part is the same in both. So documents meet by equality on (size cell, part, bits), and every pair that
-is to be linked meets. Sizes are covered by overlapping cells, since similar sets have similar sizes.
+is to be linked meets. Sizes are covered by overlapping cells, since similar sets have similar sizes. Parts this wide are never
+written out: a part stands as the sum without carry of the scrambled places of its set bits, so unlike sets meet by shared shingles only,
+not by chance. There are as many parts more than needed as are likely to be empty, so that empty parts, alike in unlike sets, are hardly ever keys.
+
+Keys travel packed: a task gathers many, deals them into buckets by their upper bits and hands on one packed row a bucket.
 
 Documents of equal sets are one class and go through once. In a group of classes that meet, each meets the smallest only, within tasks first,
 and is compared with the smallest, so the work grows with the group, not with its square. Classes that end up connected need no more
@@ -14,7 +18,9 @@ Linked sets are of one component, so links are counted once the components are k
 tasks, which hand on a count per class and no pairs. That work grows with the square of a component, and its sets travel once a block.
 """
 
+import functools
 import itertools
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,12 +34,15 @@ from hirelake.llm.components import components
 #: Bits of a whole sketch for each shingle, at least, and of any sketch at least; rounded up to a power of two.
 BITS_PER_SHINGLE, LEAST_BITS = 1, 256
 #: Keys a task gathers before it links those that are alike among them and hands them on.
-GATHERED = 500_000
+GATHERED = 2_000_000
 #: Width of a size cell: its largest size over its smallest.
 CELL_RATIO = 1.6
-#: Parts more than are needed, so that empty parts, which many documents share, need not be joined on.
-SPARE_PARTS = 1
+#: Sketches of at least so many parts have more of them than are needed, so that empty parts, which many documents share, need not be joined on.
 SPARE_FROM = 8
+#: Keys of all documents that go into one bucket, about; a task holds one bucket.
+KEYS_IN_BUCKET = 1_000_000
+#: Bits of a key that travel. Keys that are alike in them meet, so fewer bits only make pairs that the sketches rule out.
+KEY_BITS = 48
 #: Members of a group all of whose pairs are made at once.
 FEW_MEMBERS = 4
 #: Members of a larger group that are compared in one task; larger groups are compared block by block.
@@ -68,10 +77,16 @@ class Likeness:
             low = -(-self.least * (high + 1) // self.of)
         return out
 
-    def parts(self, high: int) -> tuple[int, int]:
+    @functools.lru_cache(maxsize=1024)
+    def parts(self, low: int, high: int) -> tuple[int, int]:
         """Parts of the sketches of a cell, and how many of them are spare."""
-        reach = self.reach(2 * high)
-        spare = SPARE_PARTS if reach >= SPARE_FROM else 0
+        reach, spare = self.reach(2 * high), 0
+        while reach >= SPARE_FROM:
+            parts = reach + 1 + spare
+            empty = parts * math.exp(-low / parts)  # of the smallest sets, on average
+            if spare > empty + 2 * math.sqrt(empty):
+                break
+            spare += 1
         return reach + 1 + spare, spare
 
 
@@ -132,10 +147,10 @@ def part_keys(found: np.ndarray, like: Likeness, cells: list[tuple[int, int]]) -
     for number, (low, high) in enumerate(cells):
         if not low <= len(found) <= high:
             continue
-        parts, spare = like.parts(high)
+        parts, spare = like.parts(low, high)
         part = ((found >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
         bits = np.zeros(parts, dtype=np.uint64)
-        np.bitwise_xor.at(bits, part.astype(np.int64), np.uint64(1) << (found & np.uint64(63)))
+        np.bitwise_xor.at(bits, part.astype(np.int64), common.mix(found))
         keys = common.chain(common.mix(np.arange(parts, dtype=np.uint64) + np.uint64(number << 32)), bits)
         empty = bits == 0
         # Of two sets that agree in spare + 1 parts, one with at most `spare` empty parts agrees in another one.
@@ -144,7 +159,7 @@ def part_keys(found: np.ndarray, like: Likeness, cells: list[tuple[int, int]]) -
 
 
 def _linked_within(keys: np.ndarray, classes: np.ndarray):
-    """(key, cls, hub) of gathered keys: hub is null for a key met once, else the smallest class of the key here."""
+    """keys, classes, hubs of gathered keys in their order: copies once; a key's hub is its smallest class here."""
     order = np.lexsort((classes, keys))
     keys, classes = keys[order], classes[order]
     new = np.ones(len(keys), dtype=bool)
@@ -152,14 +167,63 @@ def _linked_within(keys: np.ndarray, classes: np.ndarray):
     keys, classes = keys[new], classes[new]  # copies within the task
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     size = np.diff(np.append(first, len(keys)))
-    hubs = np.repeat(classes[first], size)
-    alone = np.repeat(size == 1, size)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(common.signed(keys)), pa.array(classes), pa.array(hubs, mask=alone)], ["key", "cls", "hub"]
+    return keys, classes, np.repeat(classes[first], size), np.repeat(size == 1, size)
+
+
+def _packed(keys: np.ndarray, classes: np.ndarray, alone: np.ndarray) -> bytes:
+    """Sorted keys and their classes as bytes: steps from key to key, places in a table of classes, whether a key was met once."""
+    table, places = np.unique(classes, return_inverse=True)
+    steps = np.diff(keys, prepend=np.uint64(0))
+    steps[0] = 0
+    narrow, small = int(steps.max()) < 1 << 32, len(table) <= 1 << 16
+    head = np.array([len(keys), len(table), narrow, small, keys[0]], dtype=np.uint64)
+    return b"".join(
+        [
+            head.tobytes(),
+            steps.astype(np.uint32 if narrow else np.uint64).tobytes(),
+            table.tobytes(),
+            places.astype(np.uint16 if small else np.uint32).tobytes(),
+            np.packbits(alone).tobytes(),
+        ]
     )
 
 
-def shared_keys(docs: DataFrame, like: Likeness, largest: int) -> DataFrame:
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """keys, classes and alone of packed bytes."""
+    head = np.frombuffer(data, np.uint64, 5)
+    n, of_table, narrow, small = head[:4].tolist()
+    at = head.nbytes
+    out = []
+    for kind, count in ((np.uint32 if narrow else np.uint64, n), (np.int64, of_table), (np.uint16 if small else np.uint32, n), (np.uint8, -(-n // 8))):
+        out.append(np.frombuffer(data, kind, count, at))
+        at += out[-1].nbytes
+    steps, table, places, alone = out
+    return head[4] + np.cumsum(steps, dtype=np.uint64), table[places], np.unpackbits(alone, count=n).astype(bool)
+
+
+def _buckets(keys: np.ndarray, classes: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """bucket, packed, followers of gathered keys. Only one class a key goes to the key's bucket; those that follow it are spread over all."""
+    keys, classes, hubs, alone = _linked_within(keys >> np.uint64(64 - KEY_BITS), classes)
+    lead = alone | (hubs == classes)
+    upper = np.uint64(KEY_BITS - 32)
+    bucket = ((keys >> upper) * np.uint64(buckets)) >> np.uint64(32)
+    rows = []
+    own, k, c, one = bucket[lead], keys[lead], classes[lead], alone[lead]
+    for a, b in _groups([own]):
+        rows.append((int(own[a]), _packed(k[a:b], c[a:b], one[a:b]), None))
+    if not lead.all():
+        k, c, h = keys[~lead], classes[~lead], hubs[~lead]
+        own = common.mix(c.view(np.uint64) ^ k) % np.uint64(buckets)
+        order = np.argsort(own, kind="stable")
+        own, told = own[order], np.stack([common.signed(k), c, h], axis=1)[order]
+        for a, b in _groups([own]):
+            rows.append((int(own[a]), None, told[a:b].tobytes()))
+    columns = list(zip(*rows))
+    kinds = (pa.int64(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)], ["bucket", "packed", "followers"])
+
+
+def shared_keys(docs: DataFrame, like: Likeness, largest: int, buckets: int) -> DataFrame:
     """key, cls, hub of every class that meets another: hub is the class it is to be compared with."""
     cells = like.cells(largest)
 
@@ -173,22 +237,43 @@ def shared_keys(docs: DataFrame, like: Likeness, largest: int) -> DataFrame:
                     classes.append(np.full(len(own), _class(found), dtype=np.uint64).view(np.int64))
                     held += len(own)
             if held >= GATHERED:
-                yield _linked_within(np.concatenate(keys), np.concatenate(classes))
+                yield _buckets(np.concatenate(keys), np.concatenate(classes), buckets)
                 keys, classes, held = [], [], 0
         if held:
-            yield _linked_within(np.concatenate(keys), np.concatenate(classes))
+            yield _buckets(np.concatenate(keys), np.concatenate(classes), buckets)
 
-    found = docs.select("text").mapInArrow(emit, "key bigint, cls bigint, hub bigint")
-    # Only one row per key and task goes to the key's partition; those linked within a task are spread over all.
-    place = F.when(F.coalesce(F.col("hub") == F.col("cls"), F.lit(True)), F.col("key")).otherwise(F.xxhash64("key", "cls"))
-    dealt = found.repartition(place).sortWithinPartitions("key", "cls")
+    found = docs.select("text").mapInArrow(emit, "bucket bigint, packed binary, followers binary")
+    dealt = found.repartition("bucket").sortWithinPartitions("bucket")
+    names = ["key", "cls", "hub"]
 
     def meet(batches):
-        carry = None
+        bucket, waiting = None, []
         for batch in batches:
-            carry, out = _meet(carry, batch)
-            if out is not None:
-                yield out
+            columns = [batch.column(c).to_pylist() for c in ("bucket", "packed", "followers")]
+            for own, packed, followers in zip(*columns):
+                if followers is not None:
+                    told = np.frombuffer(followers, np.int64).reshape(-1, 3)
+                    yield pa.RecordBatch.from_arrays([pa.array(told[:, i].copy()) for i in range(3)], names)
+                    continue
+                if own != bucket and waiting:
+                    yield from met(waiting)
+                    waiting = []
+                bucket = own
+                waiting.append(packed)
+        if waiting:
+            yield from met(waiting)
+
+    def met(waiting: list[bytes]):
+        keys, classes, alone = (np.concatenate(c) for c in zip(*map(_unpacked, waiting)))
+        order = np.lexsort((classes, keys))
+        keys, classes = common.signed(keys[order]), classes[order]
+        first = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (classes[1:] != classes[:-1])]))
+        alone = np.logical_and.reduceat(alone[order], first)  # copies of several tasks go once
+        keys, classes = keys[first], classes[first]
+        hubs = pa.array(classes, mask=alone)
+        _, out = _meet(None, pa.RecordBatch.from_arrays([pa.array(keys), pa.array(classes), hubs], names))
+        if out is not None:
+            yield out
 
     return dealt.mapInArrow(meet, "key bigint, cls bigint, hub bigint")
 
@@ -491,9 +576,11 @@ def near_duplicates(docs: DataFrame, like: Likeness = Likeness(), count_links: b
     some = summary.where("n_shingles > 0")
     classes = some.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.max("sketch").alias("sketch"))
     classes = common.stored(classes, "classes")
-    largest = classes.agg(F.max("n")).first()[0] or 0
+    largest, shingles = (x or 0 for x in classes.agg(F.max("n"), F.sum("n")).first())
+    # A set has fewer keys than shingles, being in two cells at most for most sizes, and about half as many.
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), shingles // KEYS_IN_BUCKET)
 
-    shared = common.stored(shared_keys(docs, like, largest), "shared")
+    shared = common.stored(shared_keys(docs, like, largest, buckets), "shared")
     sizes = shared.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
     sized = shared.join(sizes, "key")
     few = F.col("members") <= FEW_MEMBERS
