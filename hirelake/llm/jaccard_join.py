@@ -11,8 +11,9 @@ Keys travel packed: a task gathers many, deals them into buckets by their upper
 
 Documents of equal sets are one class and go through once. In a group of classes that meet, each meets the smallest only, within tasks first,
 and is compared with the smallest, so the work grows with the group, not with its square. Classes that end up connected need no more
-comparing. In the groups that still hold several components, whole sketches (some bits for each shingle) are compared across components, and pairs that these
-do not rule out are compared exactly, nearest first, until every such pair is compared or connected. No pair is left out.
+comparing. In the groups that still hold several components, whole sketches (some bits for each shingle) are compared across components, block by block within
+tasks; members of pairs that these do not rule out travel again with their sets, and every such pair is compared exactly or connected within its task,
+which hands on the links that connect, fewer than members. No pair is left out, and none is made a row.
 
 Linked sets are of one component, so links are counted once the components are known: all pairs of a component's classes, block by block within
 tasks, which hand on a count per class and no pairs. That work grows with the square of a component, and its sets travel once a block.
@@ -45,14 +46,12 @@ KEYS_IN_BUCKET = 1_000_000
 KEY_BITS = 48
 #: Members of a group all of whose pairs are made at once.
 FEW_MEMBERS = 4
-#: Members of a larger group that are compared in one task; larger groups are compared block by block.
-COMPARED_TOGETHER = 2_048
-#: Pairs of two components that are compared exactly in the first round, nearest sketches first; each further round as many times more.
-TRIED_FIRST, TRIED_MORE = 2, 8
+#: Members of a larger group, or of a component when links are counted, that make one block; a task compares two blocks.
+COMPARED_TOGETHER = 512
 #: Rows that are sent to every executor at most, else joined by a shuffle.
 SENT_WHOLE = 200_000
-#: Classes of a component, and shingles of their sets, that make one block when links are counted; a task holds two blocks.
-COUNTED_TOGETHER, SHINGLES_TOGETHER = 1_024, 1 << 21
+#: Shingles of the sets of one block, about; a task holds two blocks.
+SHINGLES_TOGETHER = 1 << 21
 
 
 @dataclass(frozen=True)
@@ -391,77 +390,122 @@ def _groups(columns: list[np.ndarray]):
     return zip(edges[:-1].tolist(), edges[1:].tolist())
 
 
-def _across(groups: DataFrame, classes: DataFrame, like: Likeness, most: int) -> DataFrame:
-    """key, a, b, apart, more: pairs of classes of a group but of different components whose sketches leave a link open.
-
-    Of two components the `most` pairs that differ in the fewest bits are given, block by block; `more` says that there are others.
-    Large groups are cut into blocks; each pair of blocks is compared in one task.
-    """
-    blocked = groups.withColumn("blocks", F.expr(f"cast(ceil(members / {COMPARED_TOGETHER}) as int)"))
+def _block_pairs(rows: DataFrame, *columns: str) -> DataFrame:
+    """key, left, right, block, `columns` of the members of groups (key, cls, n, ...) cut into blocks: one row for each block to be compared with."""
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"))
+    blocks = f"cast(ceil(greatest(members / {COMPARED_TOGETHER}, shingles / {SHINGLES_TOGETHER})) as int)"
+    blocked = rows.join(sizes.select("key", F.expr(blocks).alias("blocks")), "key")
     blocked = blocked.withColumn("block", F.expr("cast(pmod(xxhash64(cls), blocks) as int)"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    cells = blocked.withColumn("other", other).select(
-        "key", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "block", "cls", "component"
+    return blocked.withColumn("other", other).select(
+        "key", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "block", *columns
     )
-    cells = cells.join(classes.select("cls", "n", "sketch"), "cls")
-
-    def compare(rows: dict, out: list) -> None:
-        cls, component, n, block, sketch = rows["cls"], rows["component"], rows["n"], rows["block"], rows["sketch"]
-        shortest = min(len(x) for x in sketch)
-        folded = np.stack([np.bitwise_xor.reduce(x.reshape(-1, shortest), axis=0) for x in sketch])
-        a_rows, b_rows = np.flatnonzero(block == rows["left"][0]), np.flatnonzero(block == rows["right"][0])
-        found = []
-        for i in a_rows:
-            j = b_rows[(component[b_rows] != component[i]) & ((cls[b_rows] > cls[i]) | (rows["left"][0] != rows["right"][0]))]
-            j = j[np.minimum(n[j], n[i]) * like.of >= np.maximum(n[j], n[i]) * like.least]
-            apart = np.bitwise_count(folded[j] ^ folded[i]).sum(axis=1, dtype=np.int64)
-            open_ = apart * (like.of + like.least) <= (n[j] + n[i]) * (like.of - like.least)
-            if open_.any():
-                found.append(nearest(np.full(open_.sum(), i), j[open_], apart[open_], np.zeros(open_.sum(), bool), component))
-        if found:
-            i, j, apart, more = nearest(*(np.concatenate(c) for c in zip(*found)), component)
-            out.append((np.full(len(i), rows["key"][0]), np.minimum(cls[j], cls[i]), np.maximum(cls[j], cls[i]), apart, more))
-
-    def nearest(i, j, apart, more, component):
-        """Of each pair of components the `most` pairs that differ least; `more` marks those of which some were left out."""
-        low, high = np.minimum(component[i], component[j]), np.maximum(component[i], component[j])
-        order = np.lexsort((apart, high, low))
-        low, high = low[order], high[order]
-        first = np.flatnonzero(np.concatenate([[True], (low[1:] != low[:-1]) | (high[1:] != high[:-1])]))
-        size = np.diff(np.append(first, len(low)))
-        place = np.arange(len(low)) - np.repeat(first, size)
-        more = np.repeat((size > most) | np.logical_or.reduceat(more[order], first), size)
-        some = place < most
-        return i[order][some], j[order][some], apart[order][some], more[some]
-
-    names = ["key", "left", "right", "block", "cls", "component", "n"]
+
+
+def _folded(sketches: list[np.ndarray]) -> np.ndarray:
+    """The sketches, all brought down to the smallest one's size."""
+    shortest = min(len(x) for x in sketches)
+    return np.stack([np.bitwise_xor.reduce(x.reshape(-1, shortest), axis=0) for x in sketches])
+
+
+def _left_open(i: int, j: np.ndarray, n: np.ndarray, folded: np.ndarray, like: Likeness) -> np.ndarray:
+    """Those of the sets j whose sizes and sketches leave a link with set i open."""
+    j = j[np.minimum(n[j], n[i]) * like.of >= np.maximum(n[j], n[i]) * like.least]
+    apart = np.bitwise_count(folded[j] ^ folded[i]).sum(axis=1, dtype=np.int64)
+    return j[apart * (like.of + like.least) <= (n[j] + n[i]) * (like.of - like.least)]
+
+
+def _by_blocks(cells: DataFrame, lists: str, columns: list[str], compare, schema: str) -> DataFrame:
+    """Rows of `compare` for each pair of blocks: given the columns, the lists, and the places of the members of both sides, it returns arrays or None."""
+    names = ["key", "left", "right"]
+    out_names = [c.split()[0] for c in schema.split(",")]
 
     def run(batches):
-        for table in _whole_groups(batches, names[:3]):
-            yield from compared(table)
+        for table in _whole_groups(batches, names):
+            held = {c: table.column(c).to_numpy() for c in (*names, "block", *columns)}
+            arrays = table.column(lists).combine_chunks()
+            at, words = arrays.offsets.to_numpy(), arrays.flatten().to_numpy().view(np.uint64)
+            at = at - at[0]
+            for a, b in _groups([held[c] for c in names]):
+                of_group = {c: held[c][a:b] for c in (*names, "block", *columns)}
+                sides = [np.flatnonzero(of_group["block"] == held[c][a]) for c in ("left", "right")]
+                out = compare(of_group, [words[at[k] : at[k + 1]] for k in range(a, b)], *sides)
+                if out is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], out_names)
+
+    return cells.repartition(*names).sortWithinPartitions(*names).mapInArrow(run, schema)
+
+
+def _open_members(groups: DataFrame, classes: DataFrame, like: Likeness) -> DataFrame:
+    """key, cls, component, n of the members of groups (key, cls, component) whose sketches leave a link with another component open."""
+    sized = groups.select("key", "cls", "component").join(classes.select("cls", "n"), "cls")
+    cells = _block_pairs(sized, "cls", "component", "n").join(classes.select("cls", "sketch"), "cls")
+
+    def compare(rows: dict, sketches: list[np.ndarray], left: np.ndarray, right: np.ndarray):
+        n, component, folded = rows["n"], rows["component"], _folded(sketches)
+        open_ = np.zeros(len(n), dtype=bool)
+        for i in left.tolist():
+            near = _left_open(i, right[component[right] != component[i]], n, folded, like)
+            open_[near] = True
+            open_[i] |= len(near) > 0
+        return [rows[c][open_] for c in ("key", "cls", "component", "n")] if open_.any() else None
+
+    found = _by_blocks(cells, "sketch", ["cls", "component", "n"], compare, "key bigint, cls bigint, component bigint, n bigint")
+    return found.distinct()
+
+
+def sets_of(wanted: DataFrame, docs: DataFrame, classes: DataFrame, like: Likeness) -> DataFrame:
+    """cls, members of the classes `wanted` (cls), made anew from one text of each."""
+    reps = common.stored(wanted.distinct().join(classes.select("cls", "rep"), "cls"), "reps")
+    by_doc = reps.groupBy("rep").agg(F.collect_list("cls").alias("asked"))
+    by_doc = F.broadcast(by_doc) if reps.count() <= SENT_WHOLE else by_doc
+    texts = docs.select("doc_id", "text").join(by_doc, F.col("doc_id").eqNullSafe(F.col("rep"))).select("text", "asked")
+
+    def make(batch: pa.RecordBatch) -> dict:
+        own, sets = [], []
+        for found, asked in zip(shingle_sets(batch.column("text"), like.words), batch.column("asked").to_pylist()):
+            cls = int(np.array([_class(found)]).view(np.int64)[0])
+            if cls in asked:
+                own.append(cls)
+                sets.append(found.view(np.int64))
+        return {"cls": pa.array(own, pa.int64()), "members": pa.array(sets, pa.list_(pa.int64()))}
+
+    # Documents of equal id may hold a set twice.
+    return common.per_batch(texts, make, "cls bigint, members array<bigint>").dropDuplicates(["cls"])
 
-    def compared(table: pa.Table):
-        columns = {c: table.column(c).to_numpy() for c in names}
-        lists = table.column("sketch").combine_chunks()
-        at, words = lists.offsets.to_numpy(), lists.flatten().to_numpy().view(np.uint64)
-        at = at - at[0]
-        out: list = []
-        for a, b in _groups([columns[c] for c in names[:3]]):
-            sketch = [words[at[k] : at[k + 1]] for k in range(a, b)]
-            compare({**{c: columns[c][a:b] for c in names}, "sketch": sketch}, out)
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["key", "a", "b", "apart", "more"])
 
-    dealt = cells.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right")
-    return dealt.mapInArrow(run, "key bigint, a bigint, b bigint, apart bigint, more boolean")
+def links_across(groups: DataFrame, docs: DataFrame, classes: DataFrame, like: Likeness) -> DataFrame:
+    """u, v: links that connect all members of a group (key, cls, component) that links across components connect.
+
+    Members whose sketches leave such a link open are compared exactly, pair of blocks by pair of blocks, each in one task. A task hands on a
+    link only if it connects what its own links have not connected, so a pair of blocks has fewer links than members.
+    """
+    open_ = common.stored(_open_members(groups, classes, like), "open-members")
+    sets = sets_of(open_.select("cls"), docs, classes, like)
+    cells = _block_pairs(open_, "cls", "component", "n").join(sets, "cls")
+
+    def compare(rows: dict, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray):
+        n, cls, tree = rows["n"], rows["cls"], rows["component"].copy()
+        folded, linked = _folded([_sketch(x).view(np.uint64) for x in sets]), _linked(sets, like)
+        links, among = [], rows["left"][0] == rows["right"][0]
+        for i in left.tolist():
+            others = right[right > i] if among else right
+            near = _left_open(i, others[tree[others] != tree[i]], n, folded, like)
+            for j in linked(i, near).tolist():
+                if tree[j] != tree[i]:
+                    links.append((cls[i], cls[j]))
+                    tree[tree == tree[j]] = tree[i]
+        return [np.array(c) for c in zip(*links)] if links else None
+
+    return _by_blocks(cells, "members", ["cls", "component", "n"], compare, "u bigint, v bigint")
 
 
 def _one_of_each(groups: DataFrame) -> DataFrame:
-    """`groups` (key, cls, component, members) without those whose classes are those of another, and without those of one component."""
+    """`groups` (key, cls, component) without those whose classes are those of another, and without those of one component."""
     marks = [F.bit_xor(F.xxhash64("cls", F.lit(i))).alias(f"mark{i}") for i in range(2)]
     told = groups.groupBy("key").agg(F.count(F.lit(1)).alias("members"), *marks, F.min("component").alias("low"), F.max("component").alias("high"))
     keys = told.where("low <> high").groupBy("members", "mark0", "mark1").agg(F.min("key").alias("key"))
-    return groups.drop("members").join(keys.select("key", "members"), "key")
+    return groups.join(keys.select("key"), "key")
 
 
 def _small_pairs(shared: DataFrame) -> DataFrame:
@@ -477,30 +521,35 @@ def _members(rows: DataFrame, found: DataFrame, node: str, name: str = "componen
     return rows.join(known, node, "left").withColumn(name, F.coalesce(name, node))
 
 
-def _links_of(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, like: Likeness) -> np.ndarray:
-    """Links of each of the sorted sets with those of the other side, both given as places; equal sides: links among them."""
+def _linked(sets: list[np.ndarray], like: Likeness):
+    """A function that gives those of the sets j that are linked with set i, all given as places."""
     n = np.array([len(s) for s in sets])
-    sketches = [_sketch(s).view(np.uint64) for s in sets]
-    shortest = min(len(x) for x in sketches)
-    folded = np.stack([np.bitwise_xor.reduce(x.reshape(-1, shortest), axis=0) for x in sketches])
     members, places = np.unique(np.concatenate(sets), return_inverse=True)
     places = np.split(places.astype(np.int32), np.cumsum(n)[:-1])
     held = np.zeros(len(members), np.uint8)
+
+    def linked(i: int, j: np.ndarray) -> np.ndarray:
+        if not len(j):
+            return j
+        held[places[i]] = 1
+        of_all = held[np.concatenate([places[k] for k in j.tolist()])]
+        both = np.add.reduceat(of_all, np.cumsum(n[j]) - n[j], dtype=np.int64)
+        held[places[i]] = 0
+        return j[both * like.of >= (n[j] + n[i] - both) * like.least]
+
+    return linked
+
+
+def _links_of(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, like: Likeness) -> np.ndarray:
+    """Links of each of the sorted sets with those of the other side, both given as places; equal sides: links among them."""
+    n = np.array([len(s) for s in sets])
+    folded, linked = _folded([_sketch(s).view(np.uint64) for s in sets]), _linked(sets, like)
     links = np.zeros(len(sets), np.int64)
     among = np.array_equal(left, right)
     for at, i in enumerate(left.tolist()):
-        j = right[at + 1 :] if among else right
-        j = j[np.minimum(n[j], n[i]) * like.of >= np.maximum(n[j], n[i]) * like.least]
-        apart = np.bitwise_count(folded[j] ^ folded[i]).sum(axis=1, dtype=np.int64)
-        j = j[apart * (like.of + like.least) <= (n[j] + n[i]) * (like.of - like.least)]
-        if len(j):
-            held[places[i]] = 1
-            of_all = held[np.concatenate([places[k] for k in j.tolist()])]
-            both = np.add.reduceat(of_all, np.cumsum(n[j]) - n[j], dtype=np.int64)
-            held[places[i]] = 0
-            j = j[both * like.of >= (n[j] + n[i] - both) * like.least]
-            links[i] += len(j)
-            links[j] += 1
+        j = linked(i, _left_open(i, right[at + 1 :] if among else right, n, folded, like))
+        links[i] += len(j)
+        links[j] += 1
     return links
 
 
@@ -510,54 +559,20 @@ def link_counts(links: DataFrame, found: DataFrame, docs: DataFrame, classes: Da
     A component all of whose pairs are known links is settled; in the others all pairs are compared.
     """
     known = links.join(found, F.col("u") == F.col("node")).groupBy("component").agg(F.count(F.lit(1)).alias("known"))
-    of_found = found.join(classes.select(F.col("cls").alias("node"), "rep", "n"), "node")
-    sizes = of_found.groupBy("component").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"))
+    of_found = found.join(classes.select(F.col("cls").alias("node"), "n"), "node")
+    sizes = of_found.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
     sizes = sizes.join(known, "component").where("2 * known < members * (members - 1)")
-    blocks = f"cast(ceil(greatest(members / {COUNTED_TOGETHER}, shingles / {SHINGLES_TOGETHER})) as int)"
-    asked = of_found.join(sizes.select("component", F.expr(blocks).alias("blocks")), "component")
-    asked = asked.withColumn("block", F.expr("cast(pmod(xxhash64(node), blocks) as int)"))
-    asked = common.stored(asked.select(F.col("node").alias("cls"), "rep", F.col("component").alias("key"), "blocks", "block"), "asked")
+    asked = of_found.join(sizes.select("component"), "component").select(F.col("component").alias("key"), F.col("node").alias("cls"), "n")
+    asked = common.stored(asked, "asked")
     settled = links.select(F.explode(F.array("u", "v")).alias("cls")).join(asked.select("cls"), "cls", "left_anti")
     settled = settled.groupBy("cls").agg(F.count(F.lit(1)).alias("links"))
+    cells = _block_pairs(asked, "cls").join(sets_of(asked.select("cls"), docs, classes, like), "cls")
 
-    of_doc = asked.groupBy("rep").agg(F.collect_list(F.struct("cls", "key", "blocks", "block")).alias("asked"))
-    of_doc = F.broadcast(of_doc) if asked.count() <= SENT_WHOLE else of_doc
-    texts = docs.select("doc_id", "text").join(of_doc, F.col("doc_id").eqNullSafe(F.col("rep"))).select("text", "asked")
+    def compare(rows: dict, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray):
+        counted = _links_of(sets, left, right, like)
+        return [rows["cls"][counted > 0], counted[counted > 0]] if counted.any() else None
 
-    def make(batch: pa.RecordBatch) -> dict:
-        rows, sets = [], []
-        for own, wanted in zip(shingle_sets(batch.column("text"), like.words), batch.column("asked").to_pylist()):
-            cls = int(np.array([_class(own)]).view(np.int64)[0])
-            mine = [w for w in wanted if w["cls"] == cls]
-            rows += mine
-            sets += [own.view(np.int64)] * len(mine)
-        told = {c: pa.array([r[c] for r in rows], kind) for c, kind in (("cls", pa.int64()), ("key", pa.int64()), ("blocks", pa.int32()), ("block", pa.int32()))}
-        return {**told, "members": pa.array(sets, pa.list_(pa.int64()))}
-
-    made = common.per_batch(texts, make, "cls bigint, key bigint, blocks int, block int, members array<bigint>")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    cells = made.withColumn("other", other).select(
-        "key", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "block", "cls", "members"
-    )
-    names = ["key", "left", "right"]
-
-    def run(batches):
-        for table in _whole_groups(batches, names):
-            columns = {c: table.column(c).to_numpy() for c in (*names, "block", "cls")}
-            lists = table.column("members").combine_chunks()
-            at, hashes = lists.offsets.to_numpy(), lists.flatten().to_numpy().view(np.uint64)
-            at = at - at[0]
-            for a, b in _groups([columns[c] for c in names]):
-                cls, place = np.unique(columns["cls"][a:b], return_index=True)  # documents of equal id may hold a set twice
-                place += a
-                block = columns["block"][place]
-                sides = [np.flatnonzero(block == columns[c][a]) for c in ("left", "right")]
-                counted = _links_of([hashes[at[k] : at[k + 1]] for k in place.tolist()], *sides, like)
-                if counted.any():
-                    yield pa.RecordBatch.from_arrays([pa.array(cls[counted > 0]), pa.array(counted[counted > 0])], ["cls", "links"])
-
-    dealt = cells.repartition(*names).sortWithinPartitions(*names)
-    counted = dealt.mapInArrow(run, "cls bigint, links bigint").groupBy("cls").agg(F.sum("links").alias("links"))
+    counted = _by_blocks(cells, "members", ["cls"], compare, "cls bigint, links bigint").groupBy("cls").agg(F.sum("links").alias("links"))
     return common.stored(settled.unionByName(counted), "link-counts")
 
 
@@ -598,30 +613,18 @@ def near_duplicates(docs: DataFrame, like: Likeness = Likeness(), count_links: b
     links = common.stored(verified(tried, docs, classes, like), "links")
     found = common.stored(components(links), "components")
 
-    large = common.stored(sized.where(~few).select("key", "cls").distinct(), "large-groups")
-    open_, most = near.select(F.lit(None).cast("bigint").alias("key"), "a", "b", "apart", F.lit(False).alias("more")), TRIED_FIRST
-    if not large.isEmpty():
-        groups = common.stored(_one_of_each(_members(large, found, "cls").withColumn("members", F.lit(0))), "mixed-groups")
-        open_ = common.stored(open_.unionByName(_across(groups, classes, like, most)), "open-pairs")
-    while True:
-        left = open_.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).withColumn("tried", F.lit(True)), ["a", "b"], "left")
-        left = _members(_members(left, found, "a", "a_in"), found, "b", "b_in").where("a_in <> b_in")
-        left = common.stored(left.select("key", "a", "b", "tried", "more"), "left-pairs")
-        chosen = left.where("tried IS NULL").select("a", "b").distinct()
-        if chosen.isEmpty():
-            # Groups that hold more pairs of components still apart are looked through again, for more pairs.
-            again = left.where("more").select("key").distinct()
-            if again.isEmpty():
-                break
-            most *= TRIED_MORE
-            groups = _members(groups.drop("component").join(again, "key"), found, "cls")
-            groups = common.stored(groups, "mixed-groups")
-            open_ = common.stored(_across(groups, classes, like, most), "open-pairs")
-            continue
-        chosen = common.stored(chosen, "pairs")
-        links = common.stored(links.unionByName(verified(chosen, docs, classes, like)), "links")
+    left = near.join(tried.withColumn("tried", F.lit(True)), ["a", "b"], "left").where("tried IS NULL")
+    left = _members(_members(left.select("a", "b"), found, "a", "a_in"), found, "b", "b_in").where("a_in <> b_in")
+    left = common.stored(left.select("a", "b"), "left-pairs")
+    if not left.isEmpty():
+        links = common.stored(links.unionByName(verified(left, docs, classes, like)), "links")
+        found = common.stored(components(links), "components")
+
+    large = sized.where(~few).select("key", "cls").distinct()
+    groups = common.stored(_one_of_each(_members(large, found, "cls")), "mixed-groups")
+    if not groups.isEmpty():
+        links = common.stored(links.unionByName(links_across(groups, docs, classes, like)), "links")
         found = common.stored(components(links), "components")
-        tried = common.stored(tried.unionByName(chosen), "tried")
 
     joined = classes.select("cls", "rep").join(found.withColumnRenamed("node", "cls"), "cls", "left")
     joined = joined.select("cls", "rep", F.coalesce("component", "cls").alias("component"))
