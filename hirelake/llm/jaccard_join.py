@@ -35,7 +35,7 @@ from hirelake.llm.components import components
 #: Bits of a whole sketch for each shingle, at least, and of any sketch at least; rounded up to a power of two.
 BITS_PER_SHINGLE, LEAST_BITS = 1, 256
 #: Keys a task gathers before it links those that are alike among them and hands them on.
-GATHERED = 2_000_000
+GATHERED = 500_000
 #: Width of a size cell: its largest size over its smallest.
 CELL_RATIO = 1.6
 #: Sketches of at least so many parts have more of them than are needed, so that empty parts, which many documents share, need not be joined on.
@@ -43,7 +43,7 @@ SPARE_FROM = 8
 #: Keys of all documents that go into one bucket, about; a task holds one bucket.
 KEYS_IN_BUCKET = 1_000_000
 #: Bits of a key that travel. Keys that are alike in them meet, so fewer bits only make pairs that the sketches rule out.
-KEY_BITS = 48
+KEY_BITS = 46
 #: Members of a group all of whose pairs are made at once.
 FEW_MEMBERS = 4
 #: Members of a larger group, or of a component when links are counted, that make one block; a task compares two blocks.
@@ -51,7 +51,7 @@ COMPARED_TOGETHER = 512
 #: Rows that are sent to every executor at most, else joined by a shuffle.
 SENT_WHOLE = 200_000
 #: Shingles of the sets of one block, about; a task holds two blocks.
-SHINGLES_TOGETHER = 1 << 21
+SHINGLES_TOGETHER = 1 << 20
 
 
 @dataclass(frozen=True)
