@@ -119,7 +119,7 @@ def _encode_chunks(docs: DataFrame, ranks: str, pattern: str, chunk: int, overla
             "end_ids": pa.array([[b for _, b in p[2]] for p in parts], pa.list_(pa.binary())),
         }
 
-    pieces = docs.mapInArrow(cut, "doc_id bigint, key bigint, chunk int, last boolean, piece string")
+    pieces = docs.mapInArrow(common.handing_back(cut), "doc_id bigint, key bigint, chunk int, last boolean, piece string")
     spread = pieces.repartition("doc_id", "key", "chunk")
     return common.per_batch(spread, encode, CHUNK_PARTS.replace("row bigint, ", ""))
 

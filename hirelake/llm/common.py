@@ -1,5 +1,7 @@
 """What the operators of this folder share: session settings, tables, stored stages, words of Arrow text columns."""
 
+import ctypes
+import functools
 import re
 from collections.abc import Callable
 
@@ -11,8 +13,8 @@ from pyspark.sql.types import StructType
 
 from hirelake.sources.stages import materialize
 
-#: Rows a Python task holds at a time. Long texts are held one by one, being single cells of a table.
-ROWS_PER_BATCH = 1000
+#: Rows and bytes a Python task holds at a time; a longer text is a batch of its own.
+ROWS_PER_BATCH, BYTES_PER_BATCH = 1000, 8 << 20
 SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -20,6 +22,7 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 def prepare(spark: SparkSession) -> SparkSession:
     """Settings the operators rely on: small Arrow batches bound the memory of Python tasks."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_PER_BATCH))
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     return spark
@@ -34,6 +37,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, f"llm-{name}")
 
 
+def handing_back(run: Callable) -> Callable:
+    """A task over Arrow batches that returns freed memory to the system when it ends: Spark keeps its Python process for a minute or more."""
+
+    @functools.wraps(run)
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc only
+            if trim is not None:
+                trim(0)
+
+    return task
+
+
 def per_batch(df: DataFrame, make: Callable[[pa.RecordBatch], dict], schema: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Apply a function from an Arrow batch to columns, batch by batch; `keep` names input columns that stay before them.
 
@@ -50,7 +69,7 @@ def per_batch(df: DataFrame, make: Callable[[pa.RecordBatch], dict], schema: str
                 columns = [batch.column(c) for c in kept] + [_array(out[n]) for n in made.names]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return df.mapInArrow(run, StructType([*(df.schema[c] for c in kept), *made.fields]))
+    return df.mapInArrow(handing_back(run), StructType([*(df.schema[c] for c in kept), *made.fields]))
 
 
 def _array(values) -> pa.Array:

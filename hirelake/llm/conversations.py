@@ -121,7 +121,7 @@ def _stretches(ordered: DataFrame, schema: str, stretch: int):
             close(whole=False)
             yield table()
 
-    return ordered.mapInArrow(run, schema)
+    return ordered.mapInArrow(common.handing_back(run), schema)
 
 
 def _matrix_columns(m: transfer.Matrices) -> dict:
@@ -327,7 +327,7 @@ def repaired(rows: DataFrame, audits: DataFrame) -> DataFrame:
             ["conv_id", "position", "edit", "role", "text"],
         )
 
-    return _in_order(rows, audits).mapInArrow(run, f"{kind}, position bigint, edit string, role string, text string")
+    return _in_order(rows, audits).mapInArrow(common.handing_back(run), f"{kind}, position bigint, edit string, role string, text string")
 
 
 def digests(rows: DataFrame, audits: DataFrame) -> DataFrame:
@@ -361,7 +361,7 @@ def digests(rows: DataFrame, audits: DataFrame) -> DataFrame:
             add(editor.inserted())
             yield pa.RecordBatch.from_arrays([pa.array([conv], kind), pa.array([digest.hexdigest()])], ["conv_id", "repaired_sha256"])
 
-    return _in_order(rows, audits).mapInArrow(run, f"conv_id {rows.schema['conv_id'].dataType.simpleString()}, repaired_sha256 string")
+    return _in_order(rows, audits).mapInArrow(common.handing_back(run), f"conv_id {rows.schema['conv_id'].dataType.simpleString()}, repaired_sha256 string")
 
 
 def repair(rows: DataFrame, ids: DataFrame | None = None, stretch: int = STRETCH) -> DataFrame:

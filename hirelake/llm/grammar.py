@@ -107,7 +107,7 @@ def compress(sequences: DataFrame, column: str, terminals: int) -> tuple[DataFra
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in pair_counts(batch.column(column))], ["left", "right", "often"])
 
     for _ in range(ROUNDS):
-        pairs = sequences.select(column).mapInArrow(counted, "left bigint, right bigint, often bigint")
+        pairs = sequences.select(column).mapInArrow(common.handing_back(counted), "left bigint, right bigint, often bigint")
         pairs = pairs.groupBy("left", "right").agg(F.sum("often").alias("often")).where(F.col("often") >= LEAST_OFTEN)
         best = pairs.orderBy(F.desc("often"), "left", "right").limit(8 * RULES_A_ROUND).collect()
         chosen = _without_overlap([(r["left"], r["right"]) for r in best], RULES_A_ROUND)
@@ -122,5 +122,5 @@ def compress(sequences: DataFrame, column: str, terminals: int) -> tuple[DataFra
                     made = {**{c: batch.column(c) for c in others}, column: replace(batch.column(column), new)}
                     yield pa.RecordBatch.from_arrays([made[c] for c in batch.schema.names], batch.schema.names)
 
-        sequences = common.stored(sequences.mapInArrow(rewritten, schema), "sequences")
+        sequences = common.stored(sequences.mapInArrow(common.handing_back(rewritten), schema), "sequences")
     return sequences, rules

@@ -241,7 +241,7 @@ def shared_keys(docs: DataFrame, like: Likeness, largest: int, buckets: int) ->
         if held:
             yield _buckets(np.concatenate(keys), np.concatenate(classes), buckets)
 
-    found = docs.select("text").mapInArrow(emit, "bucket bigint, packed binary, followers binary")
+    found = docs.select("text").mapInArrow(common.handing_back(emit), "bucket bigint, packed binary, followers binary")
     dealt = found.repartition("bucket").sortWithinPartitions("bucket")
     names = ["key", "cls", "hub"]
 
@@ -274,7 +274,7 @@ def shared_keys(docs: DataFrame, like: Likeness, largest: int, buckets: int) ->
         if out is not None:
             yield out
 
-    return dealt.mapInArrow(meet, "key bigint, cls bigint, hub bigint")
+    return dealt.mapInArrow(common.handing_back(meet), "key bigint, cls bigint, hub bigint")
 
 
 def _meet(carry, batch):
@@ -433,7 +433,7 @@ def _by_blocks(cells: DataFrame, lists: str, columns: list[str], compare, schema
                 if out is not None:
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], out_names)
 
-    return cells.repartition(*names).sortWithinPartitions(*names).mapInArrow(run, schema)
+    return cells.repartition(*names).sortWithinPartitions(*names).mapInArrow(common.handing_back(run), schema)
 
 
 def _open_members(groups: DataFrame, classes: DataFrame, like: Likeness) -> DataFrame:

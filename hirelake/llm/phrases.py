@@ -114,7 +114,7 @@ def _bloom(phrases: DataFrame, k: int) -> np.ndarray:
             some = at[a : a + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(common.signed(bloom[some]))], ["place", "bits"])
 
-    found = phrases.select(*names).mapInArrow(run, "place bigint, bits bigint").groupBy("place").agg(F.bit_or("bits").alias("bits")).toArrow()
+    found = phrases.select(*names).mapInArrow(common.handing_back(run), "place bigint, bits bigint").groupBy("place").agg(F.bit_or("bits").alias("bits")).toArrow()
     out = np.zeros(words, np.uint64)
     out[found.column("place").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
     return out
@@ -227,7 +227,7 @@ def _counts(docs: DataFrame, salt: int, longest: int, filters, least: int) -> Da
             yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), *zero, langs, pa.nulls(n, pa.string()), pa.array(list(words_of.values()), pa.int64())], out.schema)
 
     schema = f"k int, {', '.join(f'{n} bigint' for n in names)}, lang string, word string, many bigint"
-    counted = docs.select(F.col("text"), F.col("lang")).mapInArrow(run, schema)
+    counted = docs.select(F.col("text"), F.col("lang")).mapInArrow(common.handing_back(run), schema)
     # Tasks have added up already: dealt out before, not after, what Spark adds up within a task.
     counted = counted.repartition(*names).groupBy("k", *names, "lang", "word").agg(F.sum("many").alias("many"))
     return counted.where((F.col("k") <= (0 if sample else 1)) | (F.col("many") >= least))
@@ -244,7 +244,7 @@ def _new(known: DataFrame, k: int, bloom) -> bool:
             if new.any():
                 yield pa.RecordBatch.from_arrays([pa.array(np.array([int(new.sum())]))], ["n"])
 
-    return not known.where(F.col("k") == k).select(*names).mapInArrow(run, "n bigint").isEmpty()
+    return not known.where(F.col("k") == k).select(*names).mapInArrow(common.handing_back(run), "n bigint").isEmpty()
 
 
 def _plain(docs: DataFrame) -> DataFrame:

@@ -117,7 +117,7 @@ def suffix_classes(rows: DataFrame, window: int) -> DataFrame:
         columns = (common.signed(key[first]), common.signed(cls[first]), n, doc[order][first], at[order][first])
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["key", "cls", "n", "doc", "at"])
 
-    found = rows.select("text", "doc").mapInArrow(emit, "key bigint, cls bigint, n bigint, doc bigint, at bigint")
+    found = rows.select("text", "doc").mapInArrow(common.handing_back(emit), "key bigint, cls bigint, n bigint, doc bigint, at bigint")
     by_key = Window.partitionBy("key")
     merged = found.repartition("key").groupBy("key", "cls").agg(F.sum("n").alias("n"), F.min(F.struct("doc", "at")).alias("one"))
     counted = merged.withColumn("classes", F.count(F.lit(1)).over(by_key)).where("classes > 1 OR n > 1")
@@ -185,7 +185,7 @@ def _trees(passages: DataFrame, window: int) -> DataFrame:
             yield build(open_)
 
     grouped = passages.repartition("key").sortWithinPartitions("key")
-    return grouped.mapInArrow(run, "key bigint, cls bigint, mask bigint")
+    return grouped.mapInArrow(common.handing_back(run), "key bigint, cls bigint, mask bigint")
 
 
 def repeated_windows(rows: DataFrame, window: int) -> DataFrame:

@@ -49,7 +49,7 @@ def distinct_pre_tokens(docs: DataFrame) -> DataFrame:
     def rows(held):
         return pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())], ["piece", "freq"])
 
-    found = docs.select("text").mapInArrow(run, "piece string, freq bigint")
+    found = docs.select("text").mapInArrow(common.handing_back(run), "piece string, freq bigint")
     return found.groupBy("piece").agg(F.sum("freq").alias("freq"))
 
 
@@ -97,7 +97,7 @@ def token_counts(docs: DataFrame, model: str = "piece_bpe_32k.model", limit: int
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "n_bytes", "number", "piece"])
 
     schema = "doc_id bigint, key bigint, n_bytes bigint, number bigint, piece string"
-    parts = docs.select("doc_id", "text", common.text_key("text").alias("key")).mapInArrow(run, schema)
+    parts = docs.select("doc_id", "text", common.text_key("text").alias("key")).mapInArrow(common.handing_back(run), schema)
     joined = parts.join(counted.select("piece", F.col("tokens").alias("each")), "piece", "left")
     total = F.sum(F.when(F.col("n_bytes").isNotNull(), F.col("number")).otherwise(F.col("number") * F.col("each")))
     per_doc = joined.groupBy("doc_id", "key").agg(total.alias("total"), F.max("n_bytes").alias("n_bytes"), F.count("n_bytes").alias("copies"))
