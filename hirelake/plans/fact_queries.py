@@ -4,6 +4,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from hirelake.functions import fixed
+from hirelake.operators import attributions
 from hirelake.plans import model_queries as m
 from hirelake.plans import stages
 from hirelake.plans.registry import query
@@ -29,6 +30,15 @@ def gbt_facts(spark, sf):
     return _facts(m.gbt_predict(spark, sf))
 
 
+@query("attribution_facts", "SELECT job_id, TRUE AS adds_up, TRUE AS no_feature_twice FROM folded WHERE fold = 0")
+def attribution_facts(spark, sf):
+    """Of every test posting, base and attributions add up to the margin of each class."""
+    told = m.attributed_test(spark, sf)
+    apart = F.zip_with("rawPrediction", attributions.margin_of("attributions", m.explainer(spark, sf)), lambda a, b: F.abs(a - b))
+    once = F.array_distinct(F.transform("attributions", lambda x: F.struct(x["class"], x["feature"])))
+    return told.select("job_id", (F.array_max(apart) < 1e-9).alias("adds_up"), (F.size(once) == F.size("attributions")).alias("no_feature_twice"))
+
+
 @query("svm_facts", "SELECT job_id, seniority AS actual, TRUE AS known_class FROM folded WHERE fold = 0")
 def svm_facts(spark, sf):
     return m.svm_predict(spark, sf).select("job_id", "actual", F.col("pred").isin(*CLASSES).alias("known_class"))

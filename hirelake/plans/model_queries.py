@@ -1,7 +1,6 @@
 """Queries that fit models, and the round trips of stored tables and models.
 
-Classifiers and role clusters run with the full settings of `fixed`. Boosted trees are slow here: each round of each class is a chain
-of jobs.
+Classifiers and role clusters run with the full settings of `fixed`.
 """
 
 import uuid
@@ -10,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from hirelake.functions import fixed, skills
-from hirelake.operators import clustering, evaluation, features, lsa, models, recommend, scoring
+from hirelake.operators import attributions, clustering, evaluation, features, lsa, models, recommend, scoring
 from hirelake.plans import stages
 from hirelake.plans.feature_queries import CLUSTER_STOP
 from hirelake.plans.registry import query
@@ -137,6 +136,30 @@ def feature_push(spark, sf):
     return models.feature_push(fitted(spark, sf, "Logistic Regression"), _test(spark, sf))
 
 
+def explainer(spark, sf):
+    return _once(spark, sf, "explainer", lambda: models.tree_explainer(fitted(spark, sf, "Boosted Trees"), _train(spark, sf)))
+
+
+@query("tree_effects")
+def tree_effects(spark, sf):
+    """What pushes test postings towards each class in the boosted model."""
+    return models.tree_effects(fitted(spark, sf, "Boosted Trees"), _test(spark, sf), explainer(spark, sf))
+
+
+@query("tree_attributions")
+def tree_attributions(spark, sf):
+    """What each feature adds to the margin of each class, for every test posting."""
+    told = attributed_test(spark, sf).select("job_id", F.inline("attributions"))
+    names = fitted(spark, sf, "Boosted Trees").names
+    return told.select("job_id", models.class_name("class", CLASSES).alias("class"), models.class_name("feature", names).alias("feature"), "value")
+
+
+def attributed_test(spark, sf):
+    model = fitted(spark, sf, "Boosted Trees")
+    scored = model.classifier.transform(model.preprocess.transform(_test(spark, sf)))
+    return attributions.attributed(scored, explainer(spark, sf))
+
+
 @query("lsa_vectors")
 def lsa_vectors(spark, sf):
     model = roles(spark, sf)
