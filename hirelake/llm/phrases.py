@@ -9,13 +9,15 @@ Sets of phrases reach the tasks as Bloom filters of at most MOST_BITS bits. A fa
 phrases lets more of them be counted, up to all, and never loses one.
 
 A word is a 64-bit hash of language and word, a phrase the hashes of its words. Every word is counted by its text too, so two words of one hash are seen, and
-counting starts again with another hash. Counts are added up within tasks before they are sent.
+counting starts again with another hash. Counts are added up within tasks before they are sent, and travel packed: one row a task and bucket of hashes. There
+are as many buckets as let one fit into a task, which adds it up and hands on what is frequent.
 """
 
 import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,12 +27,13 @@ from hirelake.llm import common
 SAMPLED, PROPOSED = 4, 2
 #: Phrases a task gathers before it adds them up and hands them on.
 GATHERED = 1_500_000
+#: Bytes of all texts for each bucket of counts.
+BYTES_A_BUCKET = 8 << 20
 #: Bits of a filter for each phrase, and of any filter at most.
 BITS_EACH, MOST_BITS = 16, 1 << 27
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 
 _PLAIN = bytes(range(256)).translate(bytes.maketrans(BREAKS + b"\t", b"\n" * len(BREAKS) + b" "))
-_TABLE = np.frombuffer(_PLAIN, np.uint8)
 
 
 class Pieces(common.Words):
@@ -41,11 +44,10 @@ class Pieces(common.Words):
         column = column.fill_null("") if column.null_count else column
         raw = column.buffers()[2]
         if raw is not None:
-            plain = pa.py_buffer(_TABLE[np.frombuffer(raw, np.uint8)])
+            plain = pa.py_buffer(raw.to_pybytes().translate(_PLAIN))
             column = pa.Array.from_buffers(pa.large_string(), len(column), [None, column.buffers()[1], plain], offset=column.offset)
         super().__init__(column, lower=True)
-        breaks = np.concatenate([[0], np.cumsum(self.data == 10)])
-        self.piece = breaks[self.starts] + self.rows()
+        self.piece = np.searchsorted(np.flatnonzero(self.data == 10), self.starts) + self.rows()
 
     def follows(self) -> np.ndarray:
         """Whether each word but the last has its next one in the same piece."""
@@ -126,7 +128,7 @@ def _bloom(phrases: DataFrame, k: int) -> np.ndarray:
 def _added_up(columns: list[np.ndarray], many: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """Different phrases with the sum of their counts, and the place of one of each."""
     keys = phrase_keys(columns)
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     new = np.ones(len(order), bool)
     new[1:] = keys[order][1:] != keys[order][:-1]
     differ = np.zeros(len(order), bool)
@@ -141,11 +143,19 @@ def _added_up(columns: list[np.ndarray], many: np.ndarray) -> tuple[list[np.ndar
     return [c[order][first] for c in columns], sums, order[first]
 
 
+def _packed(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
 class _Gathered:
     """Counts of one task on their way out: words with their texts, phrases by their hashes."""
 
-    def __init__(self, longest: int):
-        self.longest, self.schema = longest, ["k", *[f"h{i + 1}" for i in range(longest)], "lang", "word", "many"]
+    def __init__(self, longest: int, buckets: int):
+        self.longest, self.buckets = longest, buckets
+        self.names = [f"h{i + 1}" for i in range(longest)]
         self.empty()
 
     def empty(self):
@@ -157,22 +167,44 @@ class _Gathered:
             self.parts[len(columns)].append((columns, many, *texts[1:]))
             self.held += len(columns[0])
 
+    def table(self, k: int, columns: list[np.ndarray], lang, word, many: np.ndarray) -> pa.Table:
+        hashes = [pa.array(common.signed(c)) for c in columns] + [pa.array(np.zeros(len(many), np.int64))] * (self.longest - k)
+        texts = [pa.nulls(len(many), pa.string()) if t is None else t.cast(pa.string()) for t in (lang, word)]
+        return pa.table([pa.array(np.full(len(many), k, np.int32)), *hashes, *texts, pa.array(many)], ["k", *self.names, "lang", "word", "many"])
+
     def batches(self):
+        """Rows (bucket, counts): those of one length whose hashes are in a bucket."""
         for k, parts in self.parts.items():
             if not parts:
                 continue
             columns, many, at = _added_up([np.concatenate(c) for c in zip(*(p[0] for p in parts))], np.concatenate([p[1] for p in parts]))
-            if k == 1:
-                lang, word = (pa.concat_arrays([p[i] for p in parts]).take(pa.array(at)) for i in (2, 3))
-            else:
-                lang = word = pa.nulls(len(many), pa.large_string())
-            hashes = [pa.array(common.signed(c)) for c in columns] + [pa.array(np.zeros(len(many), np.int64))] * (self.longest - k)
-            table = pa.table([pa.array(np.full(len(many), k, np.int32)), *hashes, lang.cast(pa.string()), word.cast(pa.string()), pa.array(many)], self.schema)
-            yield from table.to_batches(max_chunksize=50_000)
+            lang, word = (pa.concat_arrays([p[i] for p in parts]).take(pa.array(at)) for i in (2, 3)) if k == 1 else (None, None)
+            yield from self.dealt(self.table(k, columns, lang, word, many), phrase_keys(columns))
         self.empty()
 
-
-def _counts(docs: DataFrame, salt: int, longest: int, filters, least: int) -> DataFrame:
+    def dealt(self, table: pa.Table, keys: np.ndarray):
+        bucket = ((keys >> np.uint64(32)) * np.uint64(self.buckets) >> np.uint64(32)).astype(np.int64)
+        if (bucket[1:] < bucket[:-1]).any():
+            order = np.argsort(bucket, kind="stable")
+            table, bucket = table.take(pa.array(order)), bucket[order]
+        edges = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket)) if len(bucket) else np.zeros(1, int)
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[a : a + 1]), pa.array([_packed(table.slice(a, b - a))], pa.binary())], ["bucket", "counts"])
+
+
+def _merged(tables: list[pa.Table], names: list[str]) -> pa.Table:
+    """The counts of one bucket added up."""
+    table = pa.concat_tables(tables)
+    few = table.filter(pc.less_equal(table["k"], 1))
+    words = few.group_by(["k", *names, "lang", "word"]).aggregate([("many", "sum")]).rename_columns(table.schema.names)
+    rest = table.filter(pc.greater(table["k"], 1))
+    columns, many, at = _added_up([rest[n].to_numpy().view(np.uint64) for n in names], rest["many"].to_numpy())
+    texts = pa.nulls(len(many), pa.string())
+    phrases = pa.table([rest["k"].take(pa.array(at)), *[pa.array(common.signed(c)) for c in columns], texts, texts, pa.array(many)], table.schema.names)
+    return pa.concat_tables([words.select(table.schema.names), phrases])
+
+
+def _counts(docs: DataFrame, salt: int, longest: int, filters, least: int, buckets: int) -> DataFrame:
     """k, h1..., lang, word, many: of each word (k = 1) and phrase counted in a pass, and of each language (k = 0) its words.
 
     `filters` are those of all passes so far, as broadcast lists of {length: filter}; the last one's phrases are counted unless an earlier pass did. None stands
@@ -182,7 +214,7 @@ def _counts(docs: DataFrame, salt: int, longest: int, filters, least: int) -> Da
     sample, first = filters is None, filters is None or len(filters.value) == 1
 
     def run(batches):
-        out, words_of = _Gathered(longest), {}
+        out, words_of = _Gathered(longest, buckets), {}
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -221,16 +253,29 @@ def _counts(docs: DataFrame, salt: int, longest: int, filters, least: int) -> Da
         yield from out.batches()
         words_of = {x: n for x, n in words_of.items() if n}
         if words_of:
-            n = len(words_of)
-            zero = [pa.array(np.zeros(n, np.int64))] * longest
-            langs = pa.array(list(words_of), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), *zero, langs, pa.nulls(n, pa.string()), pa.array(list(words_of.values()), pa.int64())], out.schema)
+            langs, zeros = pa.array(list(words_of), pa.string()), np.zeros(len(words_of), np.uint64)
+            yield from out.dealt(out.table(0, [], langs, None, np.array(list(words_of.values()), np.int64)), zeros)
+
+    def add_up(batches):
+        current, tables = None, []
+        for batch in batches:
+            for bucket, counts in zip(batch.column("bucket").to_pylist(), batch.column("counts")):
+                if bucket != current and tables:
+                    yield from handed_on(tables)
+                    tables = []
+                current = bucket
+                tables.append(pa.ipc.open_stream(counts.as_buffer()).read_all())
+        if tables:
+            yield from handed_on(tables)
+
+    def handed_on(tables: list[pa.Table]):
+        made = _merged(tables, names)
+        kept = pc.or_(pc.less_equal(made["k"], 0 if sample else 1), pc.greater_equal(made["many"], least))
+        yield from made.filter(kept).combine_chunks().to_batches(max_chunksize=50_000)
 
     schema = f"k int, {', '.join(f'{n} bigint' for n in names)}, lang string, word string, many bigint"
-    counted = docs.select(F.col("text"), F.col("lang")).mapInArrow(common.handing_back(run), schema)
-    # Tasks have added up already: dealt out before, not after, what Spark adds up within a task.
-    counted = counted.repartition(*names).groupBy("k", *names, "lang", "word").agg(F.sum("many").alias("many"))
-    return counted.where((F.col("k") <= (0 if sample else 1)) | (F.col("many") >= least))
+    packed = docs.select(F.col("text"), F.col("lang")).mapInArrow(common.handing_back(run), "bucket bigint, counts binary")
+    return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(common.handing_back(add_up), schema)
 
 
 def _new(known: DataFrame, k: int, bloom) -> bool:
@@ -256,14 +301,15 @@ def frequent(docs: DataFrame, longest: int = 3, least: int = 10) -> DataFrame:
     each language (k = 0), per language of `docs` (text, lang). lang and word are null for phrases; h1... are the hashes of their words.
     """
     docs, context = _plain(docs), docs.sparkSession.sparkContext
+    buckets = 1 + (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BYTES_A_BUCKET
     for salt in range(8):
         drawn = docs.where(F.pmod(F.xxhash64("text", "lang", F.lit("sample")), F.lit(SAMPLED)) == 0)
-        proposed = common.stored(_counts(drawn, salt, longest, None, PROPOSED), "proposed")
+        proposed = common.stored(_counts(drawn, salt, longest, None, PROPOSED, buckets), "proposed")
         filters = [{k: _bloom(proposed.where(F.col("k") == k), k) for k in range(1, longest)}]
         known, clash = None, False
         while True:
             sent = context.broadcast(filters)
-            made = common.stored(_counts(docs, salt, longest, sent, least), "counted")
+            made = common.stored(_counts(docs, salt, longest, sent, least, buckets), "counted")
             if known is None:
                 clash = not made.where("k = 1").groupBy("h1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
                 if clash:

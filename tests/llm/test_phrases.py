@@ -75,6 +75,17 @@ def test_filters_too_small_lose_nothing(spark, monkeypatch):
     assert got(phrases.collocations(spark.createDataFrame(rows, SCHEMA))) == mined(rows, 3, 10)
 
 
+def test_counts_of_many_buckets_handed_on_often(spark, monkeypatch):
+    rows = made_up(14)
+    monkeypatch.setattr(phrases, "BYTES_A_BUCKET", 100)
+    monkeypatch.setattr(phrases, "GATHERED", 50)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        assert got(phrases.collocations(spark.createDataFrame(rows, SCHEMA).repartition(5))) == mined(rows, 3, 10)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_words_of_equal_hash_begin_again_with_another(spark, monkeypatch):
     plain = phrases.Pieces.salted
     monkeypatch.setattr(phrases.Pieces, "salted", lambda self, tags, salt: plain(self, tags, salt) % np.uint64(50) + np.uint64(1) if salt == 0 else plain(self, tags, salt))
