@@ -170,7 +170,7 @@ def encode_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int) -
             **{n: pa.array(out[n], pa.int64()) for n in ("start", "length", "ids_crc32")},
         }
 
-    return common.per_batch(docs.select("doc_id", "text"), run, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
+    return common.per_batch(docs.select("doc_id", "text"), run, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint", holds=True)
 
 
 def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", capacity: int = 4096, end_id: int = 1) -> DataFrame:

@@ -7,6 +7,8 @@ import re
 import numpy as np
 import public_tokenizers
 
+from hirelake.llm import common
+
 #: Words remembered per generation; a worker holds two generations at most, of about 200 bytes a word.
 REMEMBERED = 400_000
 PIECES_REMEMBERED = 150_000
@@ -112,6 +114,9 @@ def word_memory(name: str) -> WordMemory:
     return WordMemory(name)
 
 
+common.HELD += [word_memory, word_tokenizer]
+
+
 def runs_of(text: str) -> list[str]:
     return text.split() if not NOT_SPACE.search(text) else [r for r in UNICODE_SPACE.split(text) if r]
 

@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from hirelake.llm import byte_bpe, packing, token_counts, vocab
+from hirelake.llm import byte_bpe, common, packing, token_counts, vocab
 
 from .conftest import ids_and_texts, sample
 
@@ -111,6 +111,14 @@ def test_word_ids(text):
     assert vocab.word_ids(vocab.word_memory("word_bpe_49k.json"), [text, text]) == [vocab.ids_to_bytes(whole)] * 2
 
 
+def test_tasks_of_other_kinds_drop_what_is_held():
+    memory = vocab.word_memory("word_bpe_49k.json")
+    list(common.handing_back(lambda batches: batches, holds=True)(iter([])))
+    assert vocab.word_memory("word_bpe_49k.json") is memory
+    list(common.handing_back(lambda batches: batches)(iter([])))
+    assert vocab.word_memory.cache_info().currsize == vocab.word_tokenizer.cache_info().currsize == 0
+
+
 def check_packing(out, docs, word, capacity):
     expected = Counter()
     for d, t in docs:

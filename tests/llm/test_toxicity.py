@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -96,6 +97,21 @@ def test_odd(spark, odd, empty):
     assert toxicity.fit(odd, labels.limit(0)).p["bias"][0] == 0
 
 
+def test_memory_of_scoring():
+    """Character strings of many different words are looked up a part at a time."""
+    words = [f"{i * 7919 % 1000003:06d}{i % 97}word{i}" for i in range(60_000)]
+    few = " ".join(words[:50])
+    net = toxicity.train([few, few + " vile"], np.array([0, 1]))
+    texts = column([" ".join(words[a : a + 600]) for a in range(0, len(words), 600)])
+    tracemalloc.start()
+    try:
+        scores = toxicity.score_batch(texts, net)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(scores) == 100 and peak < 60 * texts.nbytes
+
+
 def test_held_out_accuracy(spark):
     path = "/root/testdata/sf0.1"
     out = {r["doc_id"]: r for r in queries.QUERIES["op5_toxicity"](spark, path).collect()}
