@@ -233,6 +233,15 @@ def test_stream_scores_each_file_once(spark, postings, seniority, roles, tmp_pat
     assert {r.job_id: r.seniority for r in scored.collect()} == batch
 
 
+def test_stream_scores_a_file_on_all_cores(spark, postings, seniority, roles, tmp_path):
+    source, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    raw = postings.select("job_id", "title", "description", "company_name")
+    raw.coalesce(1).write.parquet(source)
+    stream_scoring.score_files(spark, source, sink, state, seniority, roles, files_per_batch=1).awaitTermination()
+    assert len(list((tmp_path / "out" / "batch=0").glob("part-*.parquet"))) == spark.sparkContext.defaultParallelism > 1
+    assert stream_scoring.read_scores(spark, sink).count() == raw.count()
+
+
 def test_csv_keeps_line_breaks_quotes_and_missing(spark, tmp_path):
     path = tmp_path / "p.csv"
     path.write_text('extra,name,job_id,amount\n1,"two\nlines, ""quoted""",7,NA\n2,None,8,1.5\n3,  padded ,9,\n')
