@@ -212,4 +212,4 @@ def pack(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", capacity: int =
         }
 
     schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
-    return common.per_batch(ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank"), place, schema)
+    return common.per_batch(ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank"), place, schema, holds=True)
