@@ -12,8 +12,8 @@ Keys travel packed: a task gathers many, deals them into buckets by their upper
 Documents of equal sets are one class and go through once. In a group of classes that meet, each meets the smallest only, within tasks first,
 and is compared with the smallest, so the work grows with the group, not with its square. Classes that end up connected need no more
 comparing. In the groups that still hold several components, whole sketches (some bits for each shingle) are compared across components, block by block within
-tasks; members of pairs that these do not rule out travel again with their sets, and every such pair is compared exactly or connected within its task,
-which hands on the links that connect, fewer than members. No pair is left out, and none is made a row.
+tasks that hold a block while the rest of its group passes by; members of pairs that these do not rule out, each once a group, travel again with their sets, and every
+such pair is compared exactly or connected within its task, which hands on the links that connect, fewer than members. No pair is left out, and none is made a row.
 
 Linked sets are of one component, so links are counted once the components are known: all pairs of a component's classes, block by block within
 tasks, which hand on a count per class and no pairs. That work grows with the square of a component, and its sets travel once a block.
@@ -390,16 +390,18 @@ def _groups(columns: list[np.ndarray]):
     return zip(edges[:-1].tolist(), edges[1:].tolist())
 
 
-def _block_pairs(rows: DataFrame, *columns: str) -> DataFrame:
-    """key, left, right, block, `columns` of the members of groups (key, cls, n, ...) cut into blocks: one row for each block to be compared with."""
+def _blocked(rows: DataFrame) -> DataFrame:
+    """`rows` of groups (key, cls, n, ...) with the number of blocks of their group, their block and `other`: one row for each block of the group."""
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("shingles"))
     blocks = f"cast(ceil(greatest(members / {COMPARED_TOGETHER}, shingles / {SHINGLES_TOGETHER})) as int)"
     blocked = rows.join(sizes.select("key", F.expr(blocks).alias("blocks")), "key")
     blocked = blocked.withColumn("block", F.expr("cast(pmod(xxhash64(cls), blocks) as int)"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    return blocked.withColumn("other", other).select(
-        "key", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "block", *columns
-    )
+    return blocked.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+
+
+def _block_pairs(rows: DataFrame, *columns: str) -> DataFrame:
+    """key, left, right, block, `columns` of the members of groups (key, cls, n, ...) cut into blocks: one row for each block to be compared with."""
+    return _blocked(rows).select("key", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "block", *columns)
 
 
 def _folded(sketches: list[np.ndarray]) -> np.ndarray:
@@ -436,22 +438,71 @@ def _by_blocks(cells: DataFrame, lists: str, columns: list[str], compare, schema
     return cells.repartition(*names).sortWithinPartitions(*names).mapInArrow(common.handing_back(run), schema)
 
 
+@dataclass
+class _Block:
+    """Members of a group; `open_` are those with a link to another component left open."""
+
+    cls: np.ndarray
+    component: np.ndarray
+    n: np.ndarray
+    sketches: list[np.ndarray]
+    open_: np.ndarray
+
+    def __add__(self, other: "_Block") -> "_Block":
+        both = (np.concatenate([getattr(x, c) for x in (self, other)]) for c in ("cls", "component", "n"))
+        return _Block(*both, self.sketches + other.sketches, np.concatenate([self.open_, other.open_]))
+
+    def meet(self, others: "_Block", like: Likeness) -> None:
+        """Marks own members whose sketches leave a link with one of `others` open."""
+        closed = np.flatnonzero(~self.open_)
+        if not len(closed):
+            return
+        first, n = len(self.n), np.concatenate([self.n, others.n])
+        folded = _folded(self.sketches + others.sketches)
+        for i in closed.tolist():
+            apart = first + np.flatnonzero(others.component != self.component[i])
+            self.open_[i] = len(_left_open(i, apart, n, folded, like)) > 0
+
+
 def _open_members(groups: DataFrame, classes: DataFrame, like: Likeness) -> DataFrame:
-    """key, cls, component, n of the members of groups (key, cls, component) whose sketches leave a link with another component open."""
+    """key, cls, component, n of the members of groups (key, cls, component) whose sketches leave a link with another component open.
+
+    A task holds a block while all other members of the group pass by, so it hands on each member once a group, however many blocks that has.
+    """
     sized = groups.select("key", "cls", "component").join(classes.select("cls", "n"), "cls")
-    cells = _block_pairs(sized, "cls", "component", "n").join(classes.select("cls", "sketch"), "cls")
+    passing = (F.col("block") != F.col("other")).cast("int").alias("passing")
+    cells = _blocked(sized).select("key", F.col("other").alias("block"), passing, "cls", "component", "n").join(classes.select("cls", "sketch"), "cls")
+    names = ["key", "cls", "component", "n"]
 
-    def compare(rows: dict, sketches: list[np.ndarray], left: np.ndarray, right: np.ndarray):
-        n, component, folded = rows["n"], rows["component"], _folded(sketches)
-        open_ = np.zeros(len(n), dtype=bool)
-        for i in left.tolist():
-            near = _left_open(i, right[component[right] != component[i]], n, folded, like)
-            open_[near] = True
-            open_[i] |= len(near) > 0
-        return [rows[c][open_] for c in ("key", "cls", "component", "n")] if open_.any() else None
+    def told(key: int, own: _Block) -> pa.RecordBatch:
+        columns = [np.full(int(own.open_.sum()), key, np.int64), *(x[own.open_] for x in (own.cls, own.component, own.n))]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
-    found = _by_blocks(cells, "sketch", ["cls", "component", "n"], compare, "key bigint, cls bigint, component bigint, n bigint")
-    return found.distinct()
+    def run(batches):
+        cell, own = None, None
+        for batch in batches:
+            rows = {c: batch.column(c).to_numpy() for c in ("key", "block", "passing", "cls", "component", "n")}
+            lists = batch.column("sketch")
+            at, words = lists.offsets.to_numpy(), lists.flatten().to_numpy().view(np.uint64)
+            at = at - at[0]
+            for a, b in _groups([rows[c] for c in ("key", "block", "passing")]):
+                if cell != (rows["key"][a], rows["block"][a]):
+                    if own is not None:
+                        yield told(cell[0], own)
+                    cell, own = (rows["key"][a], rows["block"][a]), None
+                sketches = [words[at[k] : at[k + 1]] for k in range(a, b)]
+                part = _Block(*(rows[c][a:b] for c in ("cls", "component", "n")), sketches, np.zeros(b - a, dtype=bool))
+                if own is None:
+                    own = part
+                elif not rows["passing"][a]:  # a block may come in several batches
+                    part.meet(own, like)
+                    own = own + part
+                own.meet(part, like)
+        if own is not None:
+            yield told(cell[0], own)
+
+    dealt = cells.repartition("key", "block").sortWithinPartitions("key", "block", "passing")
+    return dealt.mapInArrow(common.handing_back(run), "key bigint, cls bigint, component bigint, n bigint")
 
 
 def sets_of(wanted: DataFrame, docs: DataFrame, classes: DataFrame, like: Likeness) -> DataFrame:

@@ -194,6 +194,26 @@ def test_group_of_many_components(spark, monkeypatch, together):
     assert all(m.count() < 200 * (200 / together + 1) for m in made)
 
 
+@pytest.mark.parametrize("together, batch", [(512, 1000), (7, 1000), (7, 3)])
+def test_open_members_once_a_group(spark, monkeypatch, together, batch):
+    """However many blocks a group has, its tasks make a row for each open member once, and miss none."""
+    monkeypatch.setattr(jaccard_join, "COMPARED_TOGETHER", together)
+    monkeypatch.setattr(type(spark.range(1)), "distinct", lambda self: self)  # nothing is made that would have to go again
+    rng = np.random.default_rng(3)
+    common_ = rng.integers(0, 2**63, 100).astype(np.uint64)
+    sets = [np.concatenate([common_, rng.integers(0, 2**63, 8 if i < 90 else 300).astype(np.uint64)]) for i in range(100)]
+    made = [(i, i // 3, len(s), jaccard_join._sketch(s).view(np.int64).tolist()) for i, s in enumerate(sets)]
+    classes = spark.createDataFrame([(c, n, s) for c, _, n, s in made], "cls long, n long, sketch array<long>")
+    groups = spark.createDataFrame([(k, c, own) for k in (5, 6) for c, own, _, _ in made], "key long, cls long, component long")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        out = sorted(tuple(r) for r in jaccard_join._open_members(groups, classes, LIKE).collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert out == [(k, i, i // 3, 108) for k in (5, 6) for i in range(90)]
+
+
 def test_components(spark):
     rng = random.Random(5)
     n = 400
