@@ -146,3 +146,33 @@ def test_stored_trees_predict_the_same(spark, tmp_path):
     x = np.array([r[5] for r in rows])
     at, column = np.nonzero(x)
     assert np.array(told) == pytest.approx(trees.margins(at, column, x[at, column], len(x)))
+
+
+def test_sums_of_a_tree_share_its_entries():
+    """The entries of a tree's rows and features are picked once for all its levels; the sums are those of a plain loop."""
+    rng = np.random.default_rng(2)
+    n, features = 40, 5
+    x = np.where(rng.random((n, features)) < 0.6, np.round(rng.normal(size=(n, features)), 2), 0.0)
+    row, column = np.nonzero(x)
+    offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=n))])
+    block = blocks.Block(0, True, features, offsets, column, x[row, column], rng.integers(0, CLASSES, n), rng.random(n) + 0.5)
+    edges = [np.array([-0.5, 0.0, 0.7])] * features
+    binned = boosting._binned((0, 0), block, edges)
+    held, chosen, sampled = boosting._Held(binned, CLASSES), np.array([0, 2, 3]), rng.random(n) < 0.8
+    tree = boosting.Tree.of_depth(2)
+    tree.feature[0], tree.cut[0] = 2, 1
+    boosting._sums(binned, held, 0, 0, np.array([0]), chosen, sampled)
+    first = held.entries_of(binned, 0, 0, chosen, sampled)
+    held.brought_to(binned, [], [tree] * CLASSES, 0, 1, 2)
+    for open_ in ([0, 1], [1]):
+        got = boosting._sums(binned, held, 0, 1, np.array(open_), chosen, sampled)
+        want = np.zeros_like(got)
+        for i in np.flatnonzero(sampled):
+            node = int(np.searchsorted(edges[2], x[i, 2]) > 1)
+            for place, f in enumerate(chosen):
+                if node in open_:
+                    for k, d in enumerate(held.derivatives(binned)):
+                        want[k, open_.index(node), place, np.searchsorted(edges[f], x[i, f])] += d[i, 0]
+        assert np.allclose(got, want)
+    again = held.entries_of(binned, 0, 1, chosen, sampled)
+    assert held.entries[0] is again and all(np.array_equal(a, b) for a, b in zip(first, again))
