@@ -116,3 +116,30 @@ def test_all_sets_at_once_equal_sets_alone(spark):
     labels = ((points[:, None] - kmeans.best_of_starts(df, [4], 3, 1, "z")[4][0][None]) ** 2).sum(axis=2).argmin(axis=1)
     assert scan[4]["silhouette"] == pytest.approx(plain_silhouettes(points, labels).mean())
     assert scan[4]["inertia"] < scan[3]["inertia"] < scan[2]["inertia"]
+
+
+def test_stored_tables_are_shuffled_in_many_parts(spark):
+    """What a task sorts must not grow with the table where the number of shuffle partitions is small and fixed."""
+    from hirelake.sources import stages as stored
+
+    name, parts = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", []
+    before, store = spark.conf.get(name, None), stored.StageStore()
+
+    def inner():
+        parts.append(int(spark.conf.get(name)))
+        return spark.range(3)
+
+    def outer():
+        rows = store.get(spark, "parts", "inner", inner)
+        parts.append(int(spark.conf.get(name)))
+        return rows.groupBy("id").count()
+
+    assert store.get(spark, "parts", "outer", outer).count() == 3
+    assert min(parts) >= 200 and spark.conf.get(name, None) == before
+
+    def broken():
+        raise ValueError("no table")
+
+    with pytest.raises(ValueError):
+        store.get(spark, "parts", "broken", broken)
+    assert spark.conf.get(name, None) == before
