@@ -176,3 +176,47 @@ def test_sums_of_a_tree_share_its_entries():
         assert np.allclose(got, want)
     again = held.entries_of(binned, 0, 1, chosen, sampled)
     assert held.entries[0] is again and all(np.array_equal(a, b) for a, b in zip(first, again))
+
+
+def test_dealing_decides_no_split(spark):
+    """Sums are exact: rows in another order, in more blocks, give the very same trees, also where features split alike."""
+    rng = np.random.default_rng(6)
+    x = np.round(rng.normal(size=(120, 4)) * (rng.random((120, 4)) < 0.5), 2)
+    x = np.hstack([x, -x, 3 * x])
+    y, weights = rng.integers(0, CLASSES, 120), rng.choice([0.3, 0.7, 1.9], 120)
+
+    def grown(order, parts, together):
+        made = []
+        for own in np.array_split(order, parts):
+            at, column = np.nonzero(x[own])
+            offsets = np.searchsorted(at, np.arange(len(own) + 1))
+            made.append(blocks.Block(0, True, x.shape[1], offsets, column, x[own][at, column], y[own], weights[own]))
+        boosting.ROWS_TOGETHER = 50_000 if together else 0
+        return boosting.grow(spark.sparkContext.parallelize(made, parts), {0: (x.shape[1], 120)}, CLASSES, 5, 4, 0.3, 1.0, 0.7)[0]
+
+    was = boosting.ROWS_TOGETHER
+    try:
+        first = grown(np.arange(120), 1, True)
+        for order, parts, together in ((rng.permutation(120), 7, True), (rng.permutation(120), 3, False)):
+            other = grown(order, parts, together)
+            assert all((getattr(first, c) == getattr(other, c)).all() for c in ("feature", "threshold", "value"))
+    finally:
+        boosting.ROWS_TOGETHER = was
+
+
+def test_only_the_smaller_child_is_added_up(monkeypatch):
+    rng = np.random.default_rng(3)
+    n, features = 200, 6
+    x = np.where(rng.random((n, features)) < 0.3, np.round(rng.normal(size=(n, features)), 2), 0.0)
+    at, column = np.nonzero(x)
+    block = blocks.Block(0, True, features, np.searchsorted(at, np.arange(n + 1)), column, x[at, column], rng.integers(0, CLASSES, n), rng.random(n) + 3)
+    b = boosting._binned((0, 0), block, [np.array([-0.5, -1e-12, 0.0, 0.7])] * features, 2.0**-40)
+    held, chosen, sampled = boosting._Held(b, CLASSES), np.arange(features), rng.random(n) < 0.9
+    sums, looked, found = boosting._sums, [], []
+    monkeypatch.setattr(boosting, "_sums", lambda *a: (looked.append((a[3], len(a[4]))), sums(*a))[1])
+    monkeypatch.setattr(boosting, "_best", lambda s, c, best=boosting._best: (found.append(s.copy()), best(s, c))[1])
+    tree = boosting._grown(b, held, 0, 3, 0.3, chosen, sampled)
+    inner = [int((tree.feature[2**k - 1 : 2 ** (k + 1) - 1] >= 0).sum()) for k in range(3)]
+    assert inner[1] == 2 and looked[0] == (0, 1) and all(n <= inner[k - 1] for k, n in looked[1:])
+    again = boosting._Held(b, CLASSES).brought_to(b, [], [tree] * CLASSES, 0, 1, 3)
+    assert (np.stack(found[1:3])[:, :, 0] == sums(b, again, 0, 1, np.array([0, 1]), chosen, sampled).swapaxes(0, 1)).all()
