@@ -220,3 +220,19 @@ def test_only_the_smaller_child_is_added_up(monkeypatch):
     assert inner[1] == 2 and looked[0] == (0, 1) and all(n <= inner[k - 1] for k, n in looked[1:])
     again = boosting._Held(b, CLASSES).brought_to(b, [], [tree] * CLASSES, 0, 1, 3)
     assert (np.stack(found[1:3])[:, :, 0] == sums(b, again, 0, 1, np.array([0, 1]), chosen, sampled).swapaxes(0, 1)).all()
+
+
+def test_blocks_multiply_in_stretches(spark, monkeypatch):
+    """Rows without entries, stretches of few rows and of one long row; features travel in two bytes where that is enough."""
+    monkeypatch.setattr(blocks, "ENTRIES", 7)
+    rng = np.random.default_rng(8)
+    x = np.where(rng.random((30, 300)) < 0.02, rng.normal(size=(30, 300)), 0.0)
+    x[[0, 4, 29]], x[7] = 0.0, 1.5
+    at, column = np.nonzero(x)
+    block = blocks.Block(0, True, 300, np.searchsorted(at, np.arange(31)), column.astype(np.uint16), x[at, column], np.zeros(30, int), np.ones(30))
+    w, m = rng.normal(size=(300, 4)), rng.normal(size=(30, 4))
+    assert np.allclose(block.times(w), x @ w) and np.allclose(block.transposed_times(m), x.T @ m)
+    rows = [(0, True, 0.0, 1.0, Vectors.sparse(300, np.flatnonzero(r).tolist(), r[r != 0].tolist())) for r in x]
+    df = spark.createDataFrame(rows, ["fold", "learn", "label", "weight", "features"]).withColumn("fold", F.col("fold").cast("int"))
+    made = blocks.blocks_of(df.coalesce(1)).collect()
+    assert made[0].features.dtype.itemsize == 2 and np.array_equal(np.concatenate([b.features for b in made]), column)
